@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["ingest", "silver", "warehouse"]
+MODULES = ["ingest", "silver", "warehouse", "quality"]
 
 
 def load_all() -> None:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiersmith.functions.numeric import mean, ratio, rounded
+from tiersmith.functions.numeric import ratio, rounded
 from tiersmith.operators.cleaning import columns_of, quoted
-from tiersmith.operators.quantiles import exact_quantiles, value_counts
+from tiersmith.operators.quantiles import distribution, value_counts
 
 MISSING = "∅"
 
@@ -119,20 +119,11 @@ def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def numeric_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Moments, quartiles, zeros and negatives of the numeric columns."""
-    counts = value_counts(long_numbers(df, cols), "column", "value")
-    v, n = F.col("value"), F.col("n")
-    moments = long_numbers(df, cols).groupBy("column").agg(
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        rounded(mean(v), 4).alias("mean"),
-        rounded(F.coalesce(F.stddev_samp(v), F.lit(0.0)), 4).alias("std"),
-        F.count_if(v == 0).alias("zeros"),
-        F.count_if(v < 0).alias("negatives"),
-    )
-    quartiles = exact_quantiles(counts, "column", "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
-    return moments.join(quartiles, "column", "left").withColumns(
-        {q: rounded(q, 4) for q in ("q25", "median", "q75")}
-    )
+    counts = value_counts(long_numbers(df, cols), ["column"])
+    found = distribution(counts, ["column"], {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    found = found.withColumn("std", F.coalesce("std", F.lit(0.0)))
+    figures = {c: rounded(c, 4) for c in ("mean", "std", "q25", "median", "q75")}
+    return found.withColumns(figures).drop("total_count")
 
 
 def string_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -165,7 +156,7 @@ def top_values(df: DataFrame, cols: list[str] | None = None, k: int = 5) -> Data
 
 
 def date_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    cols = cols or columns_of(df, T.DateType, T.TimestampType)
+    cols = cols or columns_of(df, T.DateType, T.TimestampType, T.TimestampNTZType)
     long = df.select(*[quoted(c).cast("timestamp").alias(c) for c in cols]).unpivot(
         [], [quoted(c) for c in cols], "column", "value"
     )

@@ -1,4 +1,4 @@
-"""Exact quantiles of many groups without holding a group in one task."""
+"""Exact distribution figures of many groups without holding a group in one task."""
 
 from __future__ import annotations
 
@@ -6,57 +6,76 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_counts(values: DataFrame, group: str, value: str) -> DataFrame:
-    """(group, value, n): repeats collapse map-side, so a hot value costs one row per task."""
-    return values.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
+def value_counts(values: DataFrame, groups: list[str], value: str = "value") -> DataFrame:
+    """(groups, value, n): repeats collapse map-side, so a hot value costs one row per task."""
+    return values.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
 
 
-def exact_quantiles(
-    counts: DataFrame, group: str, value: str, probs: dict[str, float], splits: int = 64
+def distribution(
+    counts: DataFrame, groups: list[str], probs: dict[str, float], value: str = "value", splits: int = 64
 ) -> DataFrame:
-    """One row per group with a column per entry of ``probs``, linearly interpolated.
+    """One row per group: total_count, min, max, mean, std, zeros, negatives and the quantiles.
 
-    ``counts`` holds (group, value, n). Approximate cut points spread the distinct values of a group
-    over about ``splits`` buckets; counting the rows per bucket tells which buckets hold the wanted
-    ranks, and only those are sorted. The cut points only balance the work: the ranks are counted
-    exactly, so the answer does not depend on them.
+    ``counts`` holds (groups, value, n). Quantiles are exact and linearly interpolated. Approximate
+    cut points spread the distinct values of a group over about ``splits`` buckets; counting the
+    rows per bucket tells which buckets hold the wanted ranks, and only those are sorted. The cut
+    points merely balance the work: ranks are counted exactly, so the answer does not depend on them.
+    The spread is taken around the mean, which keeps large values with a small spread exact.
     """
-    # Without the edges: duplicates are harmless, they only make an empty bucket.
-    inner = [i / splits for i in range(1, splits)]
-    cuts = counts.groupBy(group).agg(
-        F.percentile_approx(value, inner, 2000).alias("_cuts"), F.sum("n").alias("_total")
+    v, n = F.col(value), F.col("n")
+    exact_sum = F.sum((v.try_cast("decimal(18,4)") * n).cast("decimal(38,4)")).cast("double")
+    heads = counts.groupBy(*groups).agg(
+        F.percentile_approx(v, [i / splits for i in range(1, splits)], 2000).alias("_cuts"),
+        F.sum(n).alias("total_count"),
+        (exact_sum / F.sum(n)).alias("mean"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+        F.sum(F.when(v == 0, n).otherwise(0)).alias("zeros"),
+        F.sum(F.when(v < 0, n).otherwise(0)).alias("negatives"),
     )
-    in_buckets = counts.join(cuts, group).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    in_buckets = (
+        counts.join(heads.select(*groups, "_cuts", "total_count", "mean"), groups)
+        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v)))
+        .drop("_cuts")
     )
     # At most `splits` rows per group.
-    per_bucket = in_buckets.groupBy(group, "_bucket").agg(
-        F.sum("n").alias("_in_bucket"), F.max("_total").alias("_total")
+    per_bucket = in_buckets.groupBy(*groups, "_bucket").agg(
+        F.sum(n).alias("_rows"),
+        F.max("total_count").alias("_total"),
+        F.sum(n * F.pow(v - F.col("mean"), 2)).alias("_squares"),
     )
-    earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_bucket.withColumn("_start", F.coalesce(F.sum("_in_bucket").over(earlier), F.lit(0)))
+    of_group = Window.partitionBy(*groups).orderBy("_bucket")
+    earlier = of_group.rowsBetween(Window.unboundedPreceding, -1)
+    whole = of_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def position(p: float) -> Column:
         return F.lit(float(p)) * (F.col("_total") - 1)
 
-    ranks = F.array_distinct(
-        F.flatten(F.array(*[F.array(F.floor(position(p)), F.ceil(position(p))) for p in probs.values()]))
-    )
-    wanted = starts.withColumn("_ranks", ranks).filter(
-        F.exists("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_in_bucket")))
+    def contains(rank: Column, start: str, end: Column) -> Column:
+        return (rank >= F.col(start)) & (rank < end)
+
+    ranks = F.array_distinct(F.flatten(F.array(
+        *[F.array(F.floor(position(p)), F.ceil(position(p))) for p in probs.values()]
+    )))
+    bucket_end = F.col("_start") + F.col("_rows")
+    wanted = (
+        per_bucket.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_squares", F.sum("_squares").over(whole))
+        .withColumn("_ranks", ranks)
+        .filter(F.exists("_ranks", lambda r: contains(r, "_start", bucket_end)))
+        .drop("_rows")
     )
-    running = Window.partitionBy(group, "_bucket").orderBy(value)
-    ordered = (
-        in_buckets.select(group, "_bucket", value, "n")
-        .join(wanted.select(group, "_bucket", "_start", "_total", "_ranks"), [group, "_bucket"])
+    running = Window.partitionBy(*groups, "_bucket").orderBy(value)
+    at = (
+        in_buckets.select(*groups, "_bucket", value, "n")
+        .join(wanted, [*groups, "_bucket"])
         .withColumn("_end", F.col("_start") + F.sum("n").over(running))
-    )
-    at = ordered.withColumn("_begin", F.col("_end") - F.col("n")).filter(
-        F.exists("_ranks", lambda r: (r >= F.col("_begin")) & (r < F.col("_end")))
+        .withColumn("_begin", F.col("_end") - n)
+        .filter(F.exists("_ranks", lambda r: contains(r, "_begin", F.col("_end"))))
     )
 
     def at_rank(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_begin")) & (rank < F.col("_end")), F.col(value)))
+        return F.max(F.when(contains(rank, "_begin", F.col("_end")), v))
 
     bounds = []
     for name, p in probs.items():
@@ -64,10 +83,14 @@ def exact_quantiles(
             at_rank(F.floor(position(p))).alias(f"_lo_{name}"),
             at_rank(F.ceil(position(p))).alias(f"_hi_{name}"),
         ]
-    found = at.groupBy(group).agg(F.max("_total").alias("_total"), *bounds)
+    found = at.groupBy(*groups).agg(
+        F.max("_total").alias("_total"), F.max("_squares").alias("_squares"), *bounds
+    )
 
     def interpolate(name: str, p: float) -> Column:
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         return (low + (high - low) * (position(p) - F.floor(position(p)))).alias(name)
 
-    return found.select(group, *[interpolate(n, p) for n, p in probs.items()])
+    spread = F.sqrt(F.try_divide(F.col("_squares"), F.col("_total") - 1)).alias("std")
+    quantiles = found.select(*groups, spread, *[interpolate(name, p) for name, p in probs.items()])
+    return heads.drop("_cuts").join(quantiles, groups)

@@ -14,11 +14,12 @@ from tiersmith.operators.cleaning import quoted
 
 RULES_PER_AGGREGATE = 100
 
+DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 TYPE_FAMILIES: dict[str, tuple[type, ...]] = {
     "string": (T.StringType,),
     "integer": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
     "numeric": (T.NumericType,),
-    "date": (T.DateType, T.TimestampType, T.StringType),
+    "date": (*DATE_TYPES, T.StringType),
     "boolean": (T.BooleanType,),
 }
 
@@ -182,7 +183,7 @@ def business_rules(df: DataFrame, rules: list[dict]) -> list[Check]:
 def freshness(df: DataFrame, table_name: str, rule: dict, now: Column) -> list[Check]:
     """Age of the newest date. The date column is named by the rule, or the first typed one."""
     name, severity = f"freshness_{table_name}", rule.get("severity", "WARNING")
-    typed = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType))]
+    typed = [f.name for f in df.schema.fields if isinstance(f.dataType, DATE_TYPES)]
     c = rule.get("column") or next((t for t in typed if not t.startswith("_")), None)
     if c is None or c not in df.columns:
         text = F.lit("No date column found for freshness check")
