@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["ingest", "silver", "warehouse", "quality"]
+MODULES = ["ingest", "silver", "warehouse", "quality", "views"]
 
 
 def load_all() -> None:

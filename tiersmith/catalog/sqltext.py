@@ -86,7 +86,7 @@ NEEDS = {
 }
 
 
-def with_roles(names: str, body: str, **more: str) -> str:
+def with_roles(names: str, body: str, /, **more: str) -> str:
     """``body`` with the named roles, and further expressions in order, in front of it."""
     wanted: list[str] = []
     for n in names.split():

@@ -42,7 +42,7 @@ def new_records(candidates: DataFrame, order: list[str], stored: DataFrame | Non
         new.alias("new_value"),
         "previous_value",
         gain.alias("improvement_pct"),
-        *[c for c in order if c != "workout_date"],
+        *[c for c in order if c not in ("workout_id", "workout_date")],
     )
 
 
