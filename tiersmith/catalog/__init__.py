@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["ingest", "silver", "warehouse", "quality", "views"]
+MODULES = ["ingest", "silver", "warehouse", "quality", "views", "dashboards", "histories"]
 
 
 def load_all() -> None:

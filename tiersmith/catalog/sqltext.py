@@ -9,6 +9,10 @@ def rnd(x: str, digits: int = 0) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
 
 
+def dsum(x: str) -> str:
+    return f"SUM(CAST({x} AS DECIMAL(18,4)))"
+
+
 def tot(x: str) -> str:
     return f"CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiersmith.catalog.registry import query
-from tiersmith.catalog.sqltext import avg, epley, in_list, rnd, tot, when, with_roles
+from tiersmith.catalog.sqltext import avg, dsum, epley, in_list, rnd, tot, when, with_roles
 from tiersmith.catalog.warehouse import scd_inputs
 from tiersmith.functions import codes
 from tiersmith.functions.dates import minutes_between
@@ -42,7 +42,7 @@ def at(text: str = AS_OF):
         "workouts",
         f"""SELECT athlete_id, CAST(date_trunc('week', workout_date) AS DATE) AS week_start,
             COUNT(*) AS workouts_completed, {rnd(avg("duration_minutes"), 0)} AS avg_duration_min,
-            {rnd(tot("total_volume_kg"), 0)} AS total_weekly_volume_kg,
+            {rnd(dsum("total_volume_kg"), 0)} AS total_weekly_volume_kg,
             {rnd(avg("total_volume_kg"), 0)} AS avg_volume_per_session, {rnd(avg("energy_level"), 1)} AS avg_energy,
             {rnd(avg("pump_rating"), 1)} AS avg_pump, {rnd(avg("sleep_hours_prior"), 1)} AS avg_sleep_hours,
             COUNT(*) FILTER (WHERE status = 'skipped') AS sessions_skipped
@@ -61,7 +61,7 @@ def weekly_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
             COUNT(*) FILTER (WHERE {WORKING}) AS working_sets, {rnd("MAX(weight_kg)", 1)} AS max_weight_kg,
             {rnd(avg(when(WORKING, "weight_kg")), 1)} AS avg_working_weight_kg,
             {rnd(avg(when(WORKING, "reps")), 1)} AS avg_reps, {rnd(avg(when(WORKING, "rpe")), 1)} AS avg_rpe,
-            {rnd(tot(when(WORKING, "weight_kg * reps")), 0)} AS exercise_volume_kg
+            {rnd(dsum(when(WORKING, "weight_kg * reps")), 0)} AS exercise_volume_kg
             FROM set_rows GROUP BY athlete_id, exercise_name, primary_muscle, workout_date""",
     ),
 )
@@ -70,8 +70,8 @@ def exercise_progression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DAILY_SQL = f"""SELECT athlete_id, log_date, {tot("calories")} AS total_calories,
-    {rnd(tot("protein_g"), 1)} AS total_protein_g, {rnd(tot("carbs_g"), 1)} AS total_carbs_g,
-    {rnd(tot("fats_g"), 1)} AS total_fats_g, {rnd(tot("fiber_g"), 1)} AS total_fiber_g,
+    {rnd(dsum("protein_g"), 1)} AS total_protein_g, {rnd(dsum("carbs_g"), 1)} AS total_carbs_g,
+    {rnd(dsum("fats_g"), 1)} AS total_fats_g, {rnd(dsum("fiber_g"), 1)} AS total_fiber_g,
     CAST(SUM(water_ml) AS BIGINT) AS total_water_ml, COUNT(*) AS meals_logged,
     {rnd(f"{tot('protein_g')} * 4 / NULLIF({tot('calories')}, 0) * 100", 1)} AS protein_pct,
     {rnd(f"{tot('carbs_g')} * 4 / NULLIF({tot('calories')}, 0) * 100", 1)} AS carbs_pct,
@@ -104,7 +104,7 @@ def body_composition_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "set_rows",
         f"""SELECT athlete_id, CAST(date_trunc('week', workout_date) AS DATE) AS week_start, primary_muscle,
             COUNT(*) FILTER (WHERE {WORKING}) AS working_sets,
-            {rnd(tot(when(WORKING, "weight_kg * reps")), 0)} AS total_volume_kg,
+            {rnd(dsum(when(WORKING, "weight_kg * reps")), 0)} AS total_volume_kg,
             {rnd(avg(when(WORKING, "rpe")), 1)} AS avg_rpe FROM set_rows WHERE status = 'completed'
             GROUP BY athlete_id, date_trunc('week', workout_date), primary_muscle""",
     ),
@@ -184,8 +184,8 @@ PR_SQL = f"""SELECT athlete_id, exercise_id, workout_id, workout_date AS achieve
         sessions=f"""SELECT athlete_id, COUNT(*) AS total_sessions,
             COUNT(*) FILTER (WHERE status = 'completed') AS completed, COUNT(*) FILTER (WHERE status = 'skipped') AS skipped,
             {rnd("100 * (CAST(COUNT(*) FILTER (WHERE status = 'completed') AS DOUBLE) / COUNT(*))", 1)} AS completion_rate,
-            {rnd(tot("duration_minutes") + " / 60", 1)} AS total_hours, {rnd(avg("duration_minutes"), 0)} AS avg_duration_min,
-            {rnd(tot("total_volume_kg"), 0)} AS total_volume_kg, {rnd(avg("energy_level"), 1)} AS avg_energy
+            {rnd(dsum("duration_minutes") + " / 60", 1)} AS total_hours, {rnd(avg("duration_minutes"), 0)} AS avg_duration_min,
+            {rnd(dsum("total_volume_kg"), 0)} AS total_volume_kg, {rnd(avg("energy_level"), 1)} AS avg_energy
             FROM workouts WHERE workout_date BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}' GROUP BY athlete_id""",
         shifted="""SELECT athlete_id, id, weight_kg, body_fat_pct, recovery_score,
             CAST(measured_at - INTERVAL 9862 DAY AS DATE) AS day, measured_at FROM body_metrics""",
@@ -380,7 +380,7 @@ def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "set_rows",
         f"""SELECT athlete_id, CAST(date_trunc('week', workout_date) AS DATE) AS week_start,
             COUNT(DISTINCT workout_id) AS total_workouts, COUNT(*) AS total_sets,
-            {rnd(tot("weight_kg * reps"), 2)} AS total_volume_kg, CAST(SUM(reps) AS BIGINT) AS total_reps,
+            {rnd(dsum("weight_kg * reps"), 2)} AS total_volume_kg, CAST(SUM(reps) AS BIGINT) AS total_reps,
             {rnd(avg("rpe"), 1)} AS avg_rpe, array_to_string(list_sort(list(DISTINCT primary_muscle)), ',') AS muscles_trained,
             CAST(COUNT(DISTINCT workout_date) AS INTEGER) AS training_days FROM set_rows
             WHERE status = 'completed' AND set_type <> 'warmup' GROUP BY athlete_id, date_trunc('week', workout_date)""",
@@ -459,7 +459,7 @@ def health_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_roles(
         "workouts workout_sets",
         f"""SELECT w.id, coalesce(v, w.total_volume_kg) AS total_volume_kg, n AS total_sets FROM workouts w LEFT JOIN (
-              SELECT workout_id, {rnd(tot("weight_kg * reps"), 2)} AS v, COUNT(*) FILTER (WHERE set_type <> 'warmup') AS n
+              SELECT workout_id, {rnd(dsum("weight_kg * reps"), 2)} AS v, COUNT(*) FILTER (WHERE set_type <> 'warmup') AS n
               FROM workout_sets GROUP BY workout_id) s ON s.workout_id = w.id""",
     ),
 )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiersmith.catalog.registry import query
-from tiersmith.catalog.sqltext import rnd, tot, with_roles
+from tiersmith.catalog.sqltext import dsum, rnd, with_roles
 from tiersmith.operators import dimensions, enrich, scd
 from tiersmith.plans import roles
 from tiersmith.session import table
@@ -196,7 +196,7 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_roles(
         "workouts athletes",
         f"""SELECT d.year, d.quarter, a.activity_level, COUNT(*) AS workouts,
-            {rnd(tot("w.total_volume_kg"), 0)} AS volume_kg
+            {rnd(dsum("w.total_volume_kg"), 0)} AS volume_kg
             FROM workouts w JOIN dim_date d ON strftime(w.workout_date, '%Y-%m-%d') = d.date_key
             JOIN athletes a ON a.id = w.athlete_id WHERE d.is_weekday
             GROUP BY d.year, d.quarter, a.activity_level""",

@@ -36,9 +36,14 @@ def rounded(c: Column | str, digits: int = 0) -> Column:
     return F.round(col(c).try_cast(ROUND_TYPE), digits).cast("double")
 
 
+def exact_total(c: Column | str) -> Column:
+    """Sum as a decimal; round it before it becomes a double."""
+    return F.sum(dec(c))
+
+
 def total(c: Column | str) -> Column:
     """Order-independent sum as a double."""
-    return F.sum(dec(c)).cast("double")
+    return exact_total(c).cast("double")
 
 
 def mean(c: Column | str) -> Column:

@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiersmith.functions.numeric import mean, number, ratio, rounded, total
+from tiersmith.functions.numeric import exact_total, mean, number, ratio, rounded, total
 from tiersmith.operators.ordered import moving_mean
 
 
 def daily_nutrition_totals(logs: DataFrame) -> DataFrame:
     def share(grams: str, factor: int) -> Column:
         calories = F.nullif(total("calories"), F.lit(0.0))
-        return rounded(total(grams) * factor / calories * 100, 1)
+        return rounded(exact_total(grams) * factor / calories * 100, 1)
 
     return logs.groupBy("athlete_id", "log_date").agg(
         total("calories").alias("total_calories"),
-        rounded(total("protein_g"), 1).alias("total_protein_g"),
-        rounded(total("carbs_g"), 1).alias("total_carbs_g"),
-        rounded(total("fats_g"), 1).alias("total_fats_g"),
-        rounded(total("fiber_g"), 1).alias("total_fiber_g"),
+        rounded(exact_total("protein_g"), 1).alias("total_protein_g"),
+        rounded(exact_total("carbs_g"), 1).alias("total_carbs_g"),
+        rounded(exact_total("fats_g"), 1).alias("total_fats_g"),
+        rounded(exact_total("fiber_g"), 1).alias("total_fiber_g"),
         F.sum("water_ml").alias("total_water_ml"),
         F.count("*").alias("meals_logged"),
         share("protein_g", 4).alias("protein_pct"),

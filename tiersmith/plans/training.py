@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import week_start
-from tiersmith.functions.numeric import e1rm, mean, number, ratio, rounded, total, volume
+from tiersmith.functions.numeric import e1rm, exact_total, mean, number, ratio, rounded, volume
 from tiersmith.operators.enrich import iso_week
 
 def _working(c: Column | str | None = None) -> Column:
@@ -36,7 +36,7 @@ def weekly_training_summary(workouts: DataFrame) -> DataFrame:
     return workouts.groupBy("athlete_id", week_start(F.col("workout_date")).alias("week_start")).agg(
         F.count("*").alias("workouts_completed"),
         rounded(mean("duration_minutes"), 0).alias("avg_duration_min"),
-        rounded(total("total_volume_kg"), 0).alias("total_weekly_volume_kg"),
+        rounded(exact_total("total_volume_kg"), 0).alias("total_weekly_volume_kg"),
         rounded(mean("total_volume_kg"), 0).alias("avg_volume_per_session"),
         rounded(mean("energy_level"), 1).alias("avg_energy"),
         rounded(mean("pump_rating"), 1).alias("avg_pump"),
@@ -57,7 +57,7 @@ def exercise_progression(sets: DataFrame, workouts: DataFrame, exercises: DataFr
             rounded(mean(_working("weight_kg")), 1).alias("avg_working_weight_kg"),
             rounded(mean(_working("reps")), 1).alias("avg_reps"),
             rounded(mean(_working("rpe")), 1).alias("avg_rpe"),
-            rounded(total(_working(lifted)), 0).alias("exercise_volume_kg"),
+            rounded(exact_total(_working(lifted)), 0).alias("exercise_volume_kg"),
         )
     )
 
@@ -70,7 +70,7 @@ def muscle_volume_distribution(sets: DataFrame, workouts: DataFrame, exercises:
         .groupBy("athlete_id", week_start(F.col("workout_date")).alias("week_start"), "primary_muscle")
         .agg(
             F.count_if(_working()).alias("working_sets"),
-            rounded(total(_working(lifted)), 0).alias("total_volume_kg"),
+            rounded(exact_total(_working(lifted)), 0).alias("total_volume_kg"),
             rounded(mean(_working("rpe")), 1).alias("avg_rpe"),
         )
     )
@@ -96,7 +96,7 @@ def weekly_volume(
         .agg(
             F.count_distinct("workout_id").alias("total_workouts"),
             F.count("*").alias("total_sets"),
-            rounded(total(lifted), 2).alias("total_volume_kg"),
+            rounded(exact_total(lifted), 2).alias("total_volume_kg"),
             F.sum(zero("reps")).cast("bigint").alias("total_reps"),
             rounded(mean("rpe"), 1).alias("avg_rpe"),
             F.sort_array(F.collect_set("primary_muscle")).alias("muscles_trained"),
@@ -133,7 +133,7 @@ def e1rm_history(sets: DataFrame, workouts: DataFrame, exercises: DataFrame, slu
 def update_session_totals(workouts: DataFrame, sets: DataFrame) -> DataFrame:
     """Workouts with volume and non-warm-up set count from their sets; others keep their values."""
     sums = sets.groupBy(F.col("workout_id").alias("id")).agg(
-        rounded(total(zero("weight_kg") * zero("reps")), 2).alias("_volume"),
+        rounded(exact_total(zero("weight_kg") * zero("reps")), 2).alias("_volume"),
         F.count_if(F.col("set_type") != "warmup").alias("_sets"),
     )
     volume_col = F.coalesce("_volume", "total_volume_kg") if "total_volume_kg" in workouts.columns else F.col("_volume")
@@ -210,7 +210,7 @@ def e1rm_trend(log: DataFrame, exercise: str) -> DataFrame:
 def volume_by_week(log: DataFrame, legacy_week: bool = False) -> DataFrame:
     """Volume per ISO week; ``legacy_week`` merges the same week of different years."""
     weeks = iso_week(F.col("workout_date"), legacy_week)
-    return log.groupBy(*weeks).agg(rounded(total(_lifted()), 1).alias("volume_kg"))
+    return log.groupBy(*weeks).agg(rounded(exact_total(_lifted()), 1).alias("volume_kg"))
 
 
 def muscle_lookup(exercises: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def volume_by_muscle(log: DataFrame, exercises: DataFrame, drop_other: bool = Fa
     out = (
         per_exercise.join(muscle_lookup(exercises), "exercise", "left")
         .groupBy(F.coalesce("muscle", F.lit("other")).alias("muscle"))
-        .agg(rounded(F.sum("_v").cast("double"), 1).alias("volume_kg"))
+        .agg(rounded(F.sum("_v"), 1).alias("volume_kg"))
     )
     return out.filter(F.col("muscle") != "other") if drop_other else out
 
@@ -246,7 +246,7 @@ def overview(log: DataFrame) -> DataFrame:
     )
     volume_kg = F.sum("_volume").cast("double")
     return reduced.agg(
-        rounded(volume_kg, 1).alias("total_volume_kg"),
+        rounded(F.sum("_volume"), 1).alias("total_volume_kg"),
         F.count_distinct("athlete_id").alias("athletes"),
         F.count_distinct("workout_date").alias("training_days"),
         F.count_distinct("exercise").alias("exercises"),
@@ -258,7 +258,7 @@ def overview(log: DataFrame) -> DataFrame:
 def top_performer(log: DataFrame, athletes: DataFrame) -> DataFrame:
     best = (
         log.groupBy("athlete_id")
-        .agg(rounded(total(_lifted()), 1).alias("volume_kg"))
+        .agg(rounded(exact_total(_lifted()), 1).alias("volume_kg"))
         .orderBy(F.desc("volume_kg"), "athlete_id")
         .limit(1)
     )
@@ -283,7 +283,7 @@ def exercise_breakdown(log: DataFrame) -> DataFrame:
         F.count("*").alias("total_sets"),
         rounded(mean(zero("weight")), 1).alias("avg_weight"),
         rounded(mean(zero("reps")), 1).alias("avg_reps"),
-        rounded(total(_lifted()), 1).alias("total_volume"),
+        rounded(exact_total(_lifted()), 1).alias("total_volume"),
     )
 
 
@@ -326,7 +326,7 @@ def compare_weekly_volume(log: DataFrame, first, second) -> DataFrame:
     two = log.filter(F.col("athlete_id").isin(first, second))
 
     def volume_of(athlete) -> Column:
-        return rounded(total(F.when(F.col("athlete_id") == athlete, _lifted())), 1)
+        return rounded(exact_total(F.when(F.col("athlete_id") == athlete, _lifted())), 1)
 
     return two.groupBy(*weeks).agg(
         volume_of(first).alias("volume_first"), volume_of(second).alias("volume_second")
