@@ -45,7 +45,7 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     "F1_table_profile_documents",
     """SELECT 'documents' AS table_name, COUNT(*) AS row_count, 4 AS column_count,
        COUNT(*) - COUNT(DISTINCT (text, lang, source, n_chars)) AS duplicate_rows, 0 AS empty_columns,
-       0 AS columns_with_nulls, 0 AS null_cells, CAST(0 AS DOUBLE) AS null_pct FROM documents""",
+       0 AS columns_with_nulls, CAST(0 AS BIGINT) AS null_cells, CAST(0 AS DOUBLE) AS null_pct FROM documents""",
 )
 def table_profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.table_profile(table(spark, sf_dir, "documents").drop("doc_id"), "documents")

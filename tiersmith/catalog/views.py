@@ -130,7 +130,7 @@ def calculate_e1rm(spark: SparkSession, sf_dir: str) -> DataFrame:
     "G7_workout_detail",
     with_roles(
         "workouts workout_sets exercises",
-        """SELECT w.id AS workout_id, 0 AS part, CAST(to_json({'id': id, 'workout_date': CAST(workout_date AS VARCHAR),
+        """SELECT w.id AS workout_id, CAST(0 AS BIGINT) AS part, CAST(to_json({'id': id, 'workout_date': CAST(workout_date AS VARCHAR),
              'status': status, 'duration_minutes': duration_minutes, 'total_volume_kg': total_volume_kg,
              'energy_level': energy_level, 'pump_rating': pump_rating}) AS VARCHAR) AS workout,
            CAST(x.exercises AS VARCHAR) AS exercises, '["' || tag || '"]' AS tags
@@ -175,7 +175,7 @@ PR_SQL = f"""SELECT athlete_id, exercise_id, workout_id, workout_date AS achieve
     with_roles(
         "workouts body_metrics nutrition_logs workout_sets",
         f"""SELECT s.*, start_weight, current_weight, avg_body_fat, avg_recovery, avg_calories, avg_protein, avg_carbs,
-            avg_fats, coalesce(prs_hit, 0) AS prs_hit, date_diff('day', DATE '{PERIOD[0]}', DATE '{PERIOD[1]}') AS period_days
+            avg_fats, coalesce(prs_hit, 0) AS prs_hit, CAST(date_diff('day', DATE '{PERIOD[0]}', DATE '{PERIOD[1]}') AS INTEGER) AS period_days
             FROM sessions s LEFT JOIN body b USING (athlete_id) LEFT JOIN food f USING (athlete_id)
             LEFT JOIN hits h USING (athlete_id)""",
         candidates=CANDIDATES,
@@ -367,7 +367,7 @@ def process_staged_exercises(spark: SparkSession, sf_dir: str) -> DataFrame:
     _staging_sql(
         """SELECT COUNT(*) FILTER (WHERE action = 'INSERT') AS inserted,
            CAST(SUM(CASE action WHEN 'UPDATE' THEN staged_rows WHEN 'INSERT' THEN staged_rows - 1 END) AS BIGINT) AS updated,
-           0 AS skipped, (SELECT COUNT(*) FROM slugged WHERE slug = '') AS failed FROM merged"""
+           CAST(0 AS BIGINT) AS skipped, (SELECT COUNT(*) FROM slugged WHERE slug = '') AS failed FROM merged"""
     ),
 )
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,8 +22,13 @@ def slug(c: Column) -> Column:
 def tokens(c: Column) -> Column:
     """Lower-case words without stop words, in order of appearance."""
     words = F.split(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z0-9]+", " "), " ")
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(words, lambda w: (w != "") & ~F.array_contains(stop, w))
+    return F.filter(words, lambda w: (w != "") & ~w.isin(STOP_WORDS))
+
+
+def query_terms(query: str) -> list[str]:
+    """The distinct words of a query, cut like the words of a text."""
+    words = re.findall(r"[a-z0-9]+", query.lower())
+    return [w for w in dict.fromkeys(words) if w not in STOP_WORDS]
 
 
 def snake_case(name: str) -> str:

@@ -57,7 +57,7 @@ def _detect(
     stats = column_stats(counts, groups, iqr_multiplier, min_sample_size)
     carried = [*STATS["z_score"], *STATS["iqr"], "total_count"]
     flagged = (
-        counts.join(stats.select(*groups, *carried), groups)
+        counts.join(F.broadcast(stats.select(*groups, *carried)), groups)
         .groupBy(*groups)
         .agg(
             F.sum(F.when(is_z_outlier(z_threshold), F.col("n")).otherwise(0)).alias("z_score"),

@@ -5,77 +5,106 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Cut points are searched in two steps of SIDE comparisons, which gives SIDE * SIDE buckets.
+SIDE = 16
+FIGURES = ["total_count", "mean", "min", "max", "zeros", "negatives"]
+
 
 def value_counts(values: DataFrame, groups: list[str], value: str = "value") -> DataFrame:
     """(groups, value, n): repeats collapse map-side, so a hot value costs one row per task."""
     return values.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
 
 
-def distribution(
-    counts: DataFrame, groups: list[str], probs: dict[str, float], value: str = "value", splits: int = 64
-) -> DataFrame:
-    """One row per group: total_count, min, max, mean, std, zeros, negatives and the quantiles.
+def group_figures(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Per group the cut points and ``_figures``: count, mean, minimum, maximum, zeros, negatives."""
+    v, n = F.col(value), F.col("n")
+    exact_sum = F.sum((v.try_cast("decimal(18,4)") * n).cast("decimal(38,4)")).cast("double")
+    inner = [i / SIDE**2 for i in range(1, SIDE**2)]
+    return counts.groupBy(*groups).agg(
+        F.percentile_approx(v, inner, 5000).alias("_cuts"),
+        F.struct(
+            F.sum(n).alias("total_count"),
+            (exact_sum / F.sum(n)).alias("mean"),
+            F.min(v).alias("min"),
+            F.max(v).alias("max"),
+            F.sum(F.when(v == 0, n).otherwise(0)).alias("zeros"),
+            F.sum(F.when(v < 0, n).otherwise(0)).alias("negatives"),
+        ).alias("_figures"),
+    )
+
+
+def with_bucket(df: DataFrame, value: str) -> DataFrame:
+    """Add ``_bucket``: the number of cut points below the value."""
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c < F.col(value)))
+
+    every = F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.element_at("_cuts", i * SIDE))
+    fine = F.slice("_cuts", F.col("_coarse") * SIDE + 1, F.lit(SIDE - 1))
+    return df.withColumn("_coarse", below(every)).withColumn("_bucket", F.col("_coarse") * SIDE + below(fine))
+
+
+def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float], value: str = "value") -> DataFrame:
+    """One row per group: count, min, max, mean, std, zeros, negatives and the quantiles.
 
     ``counts`` holds (groups, value, n). Quantiles are exact and linearly interpolated. Approximate
-    cut points spread the distinct values of a group over about ``splits`` buckets; counting the
-    rows per bucket tells which buckets hold the wanted ranks, and only those are sorted. The cut
-    points merely balance the work: ranks are counted exactly, so the answer does not depend on them.
-    The spread is taken around the mean, which keeps large values with a small spread exact.
+    cut points spread the distinct values of a group over buckets; counting the rows per bucket
+    tells which buckets hold the wanted ranks, and only those are sorted. The cut points merely
+    balance the work: ranks are counted exactly, so the answer does not depend on them. The spread
+    is taken around the mean, which keeps large values with a small spread exact.
+
+    Groups must be few (measured columns, whose number the schema bounds): the figures per group are
+    broadcast, so that the values are never shuffled by group, which would put a whole column into
+    one task.
     """
     v, n = F.col(value), F.col("n")
-    exact_sum = F.sum((v.try_cast("decimal(18,4)") * n).cast("decimal(38,4)")).cast("double")
-    heads = counts.groupBy(*groups).agg(
-        F.percentile_approx(v, [i / splits for i in range(1, splits)], 2000).alias("_cuts"),
-        F.sum(n).alias("total_count"),
-        (exact_sum / F.sum(n)).alias("mean"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        F.sum(F.when(v == 0, n).otherwise(0)).alias("zeros"),
-        F.sum(F.when(v < 0, n).otherwise(0)).alias("negatives"),
+    heads = F.broadcast(group_figures(counts, groups, value))
+    # At most SIDE * SIDE rows per group.
+    per_bucket = (
+        with_bucket(counts.join(heads, groups), value)
+        .groupBy(*groups, "_bucket")
+        .agg(
+            F.sum(n).alias("_rows"),
+            F.min(v).alias("_low"),
+            F.max(v).alias("_high"),
+            F.sum(n * F.pow(v - F.col("_figures.mean"), 2)).alias("_squares"),
+            F.any_value("_figures").alias("_figures"),
+        )
     )
-    in_buckets = (
-        counts.join(heads.select(*groups, "_cuts", "total_count", "mean"), groups)
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v)))
-        .drop("_cuts")
-    )
-    # At most `splits` rows per group.
-    per_bucket = in_buckets.groupBy(*groups, "_bucket").agg(
-        F.sum(n).alias("_rows"),
-        F.max("total_count").alias("_total"),
-        F.sum(n * F.pow(v - F.col("mean"), 2)).alias("_squares"),
-    )
-    of_group = Window.partitionBy(*groups).orderBy("_bucket")
-    earlier = of_group.rowsBetween(Window.unboundedPreceding, -1)
-    whole = of_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_total") - 1)
+        return F.lit(float(p)) * (F.col("_figures.total_count") - 1)
 
-    def contains(rank: Column, start: str, end: Column) -> Column:
-        return (rank >= F.col(start)) & (rank < end)
+    def holds(rank: Column, begin: Column, rows: Column) -> Column:
+        return (rank >= begin) & (rank < begin + rows)
 
     ranks = F.array_distinct(F.flatten(F.array(
         *[F.array(F.floor(position(p)), F.ceil(position(p))) for p in probs.values()]
     )))
-    bucket_end = F.col("_start") + F.col("_rows")
-    wanted = (
-        per_bucket.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("_squares", F.sum("_squares").over(whole))
-        .withColumn("_ranks", ranks)
-        .filter(F.exists("_ranks", lambda r: contains(r, "_start", bucket_end)))
-        .drop("_rows")
+    earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    started = per_bucket.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).withColumn(
+        "_ranks", ranks
     )
+    holds_rank = F.exists("_ranks", lambda r: holds(r, F.col("_start"), F.col("_rows")))
+    # One row per group with the few value ranges that hold a wanted rank.
+    wanted = started.groupBy(*groups).agg(
+        F.collect_list(F.when(holds_rank, F.struct("_bucket", "_start", "_low", "_high"))).alias("_ranges"),
+        F.any_value("_ranks").alias("_ranks"),
+        F.sum("_squares").alias("_squares"),
+        F.any_value("_figures").alias("_figures"),
+    )
+    in_range = F.filter("_ranges", lambda r: (v >= r["_low"]) & (v <= r["_high"]))
     running = Window.partitionBy(*groups, "_bucket").orderBy(value)
     at = (
-        in_buckets.select(*groups, "_bucket", value, "n")
-        .join(wanted, [*groups, "_bucket"])
-        .withColumn("_end", F.col("_start") + F.sum("n").over(running))
-        .withColumn("_begin", F.col("_end") - n)
-        .filter(F.exists("_ranks", lambda r: contains(r, "_begin", F.col("_end"))))
+        counts.join(F.broadcast(wanted), groups)
+        .select(*groups, value, "n", "_ranks", "_squares", "_figures", F.explode(in_range).alias("_range"))
+        .withColumn("_bucket", F.col("_range._bucket"))
+        .withColumn("_begin", F.col("_range._start") + F.sum("n").over(running) - n)
+        .filter(F.exists("_ranks", lambda r: holds(r, F.col("_begin"), n)))
     )
 
     def at_rank(rank: Column) -> Column:
-        return F.max(F.when(contains(rank, "_begin", F.col("_end")), v))
+        return F.max(F.when(holds(rank, F.col("_begin"), n), v))
 
     bounds = []
     for name, p in probs.items():
@@ -84,13 +113,15 @@ def distribution(
             at_rank(F.ceil(position(p))).alias(f"_hi_{name}"),
         ]
     found = at.groupBy(*groups).agg(
-        F.max("_total").alias("_total"), F.max("_squares").alias("_squares"), *bounds
+        F.any_value("_figures").alias("_figures"), F.any_value("_squares").alias("_squares"), *bounds
     )
 
     def interpolate(name: str, p: float) -> Column:
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         return (low + (high - low) * (position(p) - F.floor(position(p)))).alias(name)
 
-    spread = F.sqrt(F.try_divide(F.col("_squares"), F.col("_total") - 1)).alias("std")
-    quantiles = found.select(*groups, spread, *[interpolate(name, p) for name, p in probs.items()])
-    return heads.drop("_cuts").join(quantiles, groups)
+    spread = F.sqrt(F.try_divide(F.col("_squares"), F.col("_figures.total_count") - 1)).alias("std")
+    return found.select(
+        *groups, *[F.col(f"_figures.{f}") for f in FIGURES], spread,
+        *[interpolate(name, p) for name, p in probs.items()],
+    )

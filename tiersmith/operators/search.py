@@ -2,42 +2,51 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiersmith.functions.text import tokens
-
-
-def search_document(df: DataFrame, cols: list[str]) -> Column:
-    return tokens(F.concat_ws(" ", *[F.col(c) for c in cols if c in df.columns]))
+from tiersmith.functions.text import query_terms, tokens
 
 
-def query_terms(df: DataFrame, query: str) -> Column:
-    """The distinct terms of the query, cut with the rules used for the texts."""
-    return F.array_distinct(tokens(F.lit(query)))
+def search_text(df: DataFrame, cols: list[str]) -> Column:
+    return F.concat_ws(" ", *[F.col(c) for c in cols if c in df.columns])
 
 
 def search(df: DataFrame, query: str, cols: list[str]) -> DataFrame:
     """Rows that hold every term of the query, with their ``score``; an empty query matches nothing.
 
-    The score is the share of words that are query terms. Sorting is left to the caller, so a top-k
-    report does not need a total sort.
+    A plain substring test runs first: only texts that contain every term anywhere are cut into
+    words. The score is the share of words that are query terms. Sorting is left to the caller, so a
+    top-k report does not need a total sort.
     """
-    words, terms = F.col("_words"), F.col("_terms")
-    hits = F.size(F.filter(words, lambda w: F.array_contains(terms, w)))
+    terms = query_terms(query)
+    if not terms:
+        return df.limit(0).selectExpr("*", "0 AS hits", "0 AS words", "0D AS score")
+    lowered = F.lower(search_text(df, cols))
+    possible = reduce(lambda a, b: a & b, [lowered.contains(t) for t in terms])
+    wanted = F.array(*[F.lit(t) for t in terms])
+    words = F.col("_words")
     return (
-        df.withColumns({"_words": search_document(df, cols), "_terms": query_terms(df, query)})
-        .filter((F.size(terms) > 0) & (F.size(F.array_except(terms, words)) == 0))
-        .withColumns({"hits": hits, "words": F.size(words)})
+        df.filter(possible)
+        .withColumn("_words", tokens(search_text(df, cols)))
+        .filter(F.size(F.array_except(wanted, words)) == 0)
+        .withColumns(
+            {
+                "hits": F.size(F.filter(words, lambda w: w.isin(terms))),
+                "words": F.size(words),
+            }
+        )
         .withColumn("score", F.col("hits") / F.col("words"))
-        .drop("_words", "_terms")
+        .drop("_words")
     )
 
 
 def inverted_index(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """(term, key, frequency) for a corpus that is searched often. Write it clustered by term."""
     return (
-        df.select(key, F.explode(search_document(df, cols)).alias("term"))
+        df.select(key, F.explode(tokens(search_text(df, cols))).alias("term"))
         .groupBy("term", key)
         .agg(F.count("*").alias("frequency"))
     )
@@ -45,16 +54,11 @@ def inverted_index(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 def search_index(index: DataFrame, key: str, query: str) -> DataFrame:
     """Same matches from an inverted index: only the postings of the query terms are read."""
-    terms = query_terms(index, query)
+    terms = query_terms(query)
     return (
-        index.withColumn("_terms", terms)
-        .filter(F.array_contains("_terms", F.col("term")))
+        index.filter(F.col("term").isin(terms))
         .groupBy(key)
-        .agg(
-            F.sum("frequency").alias("hits"),
-            F.count("*").alias("_found"),
-            F.max(F.size("_terms")).alias("_wanted"),
-        )
-        .filter(F.col("_found") == F.col("_wanted"))
+        .agg(F.sum("frequency").alias("hits"), F.count("*").alias("_found"))
+        .filter(F.col("_found") == len(terms))
         .select(key, "hits")
     )

@@ -16,15 +16,22 @@ RUNTIME_CONF = {
     # A hot join key is cut into several tasks, also where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Collecting aggregates sort their input once a task has seen 128 keys, long before memory is
+    # short. The bound stays small enough for an executor: lists here are per workout or per page.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Only possible while a session is being built. The call-site capture of PySpark costs several
+# round trips to the JVM per column expression, which adds up in plans with hundreds of them.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _local_scratch: dict[str, str] = {}
 
 
 def build_session(master: str = "local[*]", app: str = "tiersmith", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false")
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
