@@ -47,7 +47,12 @@ MEAL_TYPES = ["breakfast", "lunch", "dinner", "pre_workout", "post_workout", "sn
 
 
 def labels(mapping: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    """The mapping as one literal map."""
+
+    def text(x) -> str:
+        return str(x) if isinstance(x, int) else "'" + x.replace("'", "\\'") + "'"
+
+    return F.expr("map(" + ", ".join(f"{text(k)}, {text(v)}" for k, v in mapping.items()) + ")")
 
 
 def label_of(code: Column, mapping: dict, default: str) -> Column:

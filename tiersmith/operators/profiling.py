@@ -97,15 +97,24 @@ def text_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return long_text(df, cols).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
+def identity(c: Column) -> Column:
+    """The value, or its digest where that is shorter: long texts need not travel to be counted."""
+    return F.when(F.length(c) > 64, F.sha2(c, 256)).otherwise(c)
+
+
 def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Null and distinct counts and shares of every column from one table of value counts."""
     wanted = cols or df.columns
     types = F.create_map(*[F.lit(x) for c in wanted for x in (c, df.schema[c].dataType.simpleString())])
     rows = F.sum("n")
     nulls = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0))
+    counts = (
+        long_text(df, wanted)
+        .groupBy("column", identity(F.col("value")).alias("value"))
+        .agg(F.count("*").alias("n"))
+    )
     return (
-        text_counts(df, wanted)
-        .groupBy("column")
+        counts.groupBy("column")
         .agg(
             rows.alias("total_rows"),
             nulls.alias("null_count"),

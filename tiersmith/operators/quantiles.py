@@ -20,7 +20,7 @@ def group_figures(counts: DataFrame, groups: list[str], value: str) -> DataFrame
     v, n = F.col(value), F.col("n")
     exact_sum = F.sum((v.try_cast("decimal(18,4)") * n).cast("decimal(38,4)")).cast("double")
     inner = [i / SIDE**2 for i in range(1, SIDE**2)]
-    return counts.groupBy(*groups).agg(
+    heads = counts.groupBy(*groups).agg(
         F.percentile_approx(v, inner, 5000).alias("_cuts"),
         F.struct(
             F.sum(n).alias("total_count"),
@@ -31,6 +31,8 @@ def group_figures(counts: DataFrame, groups: list[str], value: str) -> DataFrame
             F.sum(F.when(v < 0, n).otherwise(0)).alias("negatives"),
         ).alias("_figures"),
     )
+    every = F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.element_at("_cuts", i * SIDE))
+    return heads.withColumn("_coarse_cuts", every)
 
 
 def with_bucket(df: DataFrame, value: str) -> DataFrame:
@@ -39,9 +41,8 @@ def with_bucket(df: DataFrame, value: str) -> DataFrame:
     def below(cuts: Column) -> Column:
         return F.size(F.filter(cuts, lambda c: c < F.col(value)))
 
-    every = F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.element_at("_cuts", i * SIDE))
     fine = F.slice("_cuts", F.col("_coarse") * SIDE + 1, F.lit(SIDE - 1))
-    return df.withColumn("_coarse", below(every)).withColumn("_bucket", F.col("_coarse") * SIDE + below(fine))
+    return df.withColumn("_coarse", below(F.col("_coarse_cuts"))).withColumn("_bucket", F.col("_coarse") * SIDE + below(fine))
 
 
 def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float], value: str = "value") -> DataFrame:

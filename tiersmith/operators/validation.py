@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -108,20 +109,22 @@ DEFAULT_RULES: dict[str, dict] = {
 
 @dataclass
 class Check:
-    """One result row to be: constants, or expressions over the whole table."""
+    """One result row to be. What is known beforehand is plain text, the rest is measured.
+
+    ``failing`` and ``total`` are aggregates; without them the check has a fixed outcome or, for
+    freshness, ``fresh`` and the age decide.
+    """
 
     rule_name: str
     column: str | None
     severity: str
-    failing: Column
-    total: Column
-    passed: Column | None = None
-    message: Column | None = None
+    message: str = ""
+    passed: bool | None = None
+    failing: Column | None = None
+    total: Column | None = None
+    fresh: Column | None = None
     age_hours: Column | None = None
-
-
-def _zero() -> Column:
-    return F.lit(0).cast("bigint")
+    age_text: Column | None = None
 
 
 def required_columns(df: DataFrame, cols: list[str], severity: str) -> list[Check]:
@@ -129,9 +132,7 @@ def required_columns(df: DataFrame, cols: list[str], severity: str) -> list[Chec
     for c in cols:
         found = c in df.columns
         text = f"Required column '{c}' {'found' if found else 'MISSING'}"
-        out.append(
-            Check(f"schema_required_column_{c}", c, severity, _zero(), _zero(), F.lit(found), F.lit(text))
-        )
+        out.append(Check(f"schema_required_column_{c}", c, severity, text, found))
     return out
 
 
@@ -143,7 +144,7 @@ def column_types(df: DataFrame, expected: dict[str, str]) -> list[Check]:
         actual = df.schema[c].dataType
         fits = isinstance(actual, TYPE_FAMILIES.get(kind, ()))
         text = f"Column '{c}' type: expected {kind}, got {actual.simpleString()}"
-        out.append(Check(f"schema_type_{c}", c, "WARNING", _zero(), _zero(), F.lit(fits), F.lit(text)))
+        out.append(Check(f"schema_type_{c}", c, "WARNING", text, fits))
     return out
 
 
@@ -172,11 +173,11 @@ def business_rules(df: DataFrame, rules: list[dict]) -> list[Check]:
         severity = rule.get("severity", "WARNING")
         if c not in df.columns:
             text = f"Column '{c}' not found for rule '{name}'"
-            out.append(Check(name, c, severity, _zero(), _zero(), F.lit(False), F.lit(text)))
+            out.append(Check(name, c, severity, text, passed=False))
             continue
         text = rule.get("description", f"{c} {rule['check']} check")
-        failing = F.count_if(F.coalesce(failing_condition(rule), F.lit(False)))
-        out.append(Check(name, c, severity, failing, F.count(quoted(c)), None, F.lit(text)))
+        failing = F.count_if(failing_condition(rule))
+        out.append(Check(name, c, severity, text, failing=failing, total=F.count(quoted(c))))
     return out
 
 
@@ -186,16 +187,17 @@ def freshness(df: DataFrame, table_name: str, rule: dict, now: Column) -> list[C
     typed = [f.name for f in df.schema.fields if isinstance(f.dataType, DATE_TYPES)]
     c = rule.get("column") or next((t for t in typed if not t.startswith("_")), None)
     if c is None or c not in df.columns:
-        text = F.lit("No date column found for freshness check")
-        return [Check(name, None, "INFO", _zero(), _zero(), F.lit(True), text)]
-    newest = F.max(quoted(c).try_cast("timestamp"))
+        return [Check(name, None, "INFO", "No date column found for freshness check", passed=True)]
     limit = rule.get("max_age_hours", 48)
-    age = rounded((F.unix_timestamp(now) - F.unix_timestamp(newest)) / 3600, 1)
-    text = F.when(newest.isNull(), F.lit("No valid dates found for freshness check")).otherwise(
-        F.concat(F.lit("Data age: "), age, F.lit(f" hours (max allowed: {limit} hours)"))
-    )
-    fresh = F.coalesce((F.unix_timestamp(now) - F.unix_timestamp(newest)) <= limit * 3600, F.lit(False))
-    return [Check(name, c, severity, _zero(), _zero(), fresh, text, age)]
+    seconds = F.unix_timestamp(now) - F.unix_timestamp(F.max(quoted(c).try_cast("timestamp")))
+    age = rounded(seconds / 3600, 1)
+    text = F.concat(F.lit("Data age: "), age, F.lit(f" hours (max allowed: {limit} hours)"))
+    return [
+        Check(
+            name, c, severity, "No valid dates found for freshness check",
+            fresh=F.coalesce(seconds <= limit * 3600, F.lit(False)), age_hours=age, age_text=text,
+        )
+    ]
 
 
 def checks_for(df: DataFrame, table_name: str, rules: dict, now: Column) -> list[Check]:
@@ -211,31 +213,51 @@ def checks_for(df: DataFrame, table_name: str, rules: dict, now: Column) -> list
     return out
 
 
+RESULT_COLUMNS = [
+    "rule_name", "table_name", "passed", "severity", "message", "failing_rows", "total_rows", "column",
+    "age_hours", "checked_at",
+]
+_KNOWN = "array<struct<rule_name:string,column:string,severity:string,message:string,passed:boolean>>"
+
+
 def _run(df: DataFrame, table_name: str, checks: list[Check], now: Column, by: list[str]) -> DataFrame:
-    aggregates = []
-    for i, c in enumerate(checks):
-        aggregates += [c.failing.alias(f"_f{i}"), c.total.alias(f"_t{i}")]
-        aggregates += [x.alias(f"_{k}{i}") for k, x in (("p", c.passed), ("m", c.message), ("a", c.age_hours)) if x is not None]
-    results = []
-    for i, c in enumerate(checks):
-        passed = F.col(f"_p{i}") if c.passed is not None else F.col(f"_f{i}") == 0
-        results.append(
-            F.struct(
-                F.lit(c.rule_name).alias("rule_name"),
-                F.lit(table_name).alias("table_name"),
-                passed.alias("passed"),
-                F.lit(c.severity).alias("severity"),
-                (F.col(f"_m{i}") if c.message is not None else F.lit("")).alias("message"),
-                F.col(f"_f{i}").alias("failing_rows"),
-                F.col(f"_t{i}").alias("total_rows"),
-                F.lit(c.column).cast("string").alias("column"),
-                (F.col(f"_a{i}") if c.age_hours is not None else F.lit(None).cast("double")).alias("age_hours"),
-                now.alias("checked_at"),
-            )
-        )
-    # Constants sit in the aggregate as well, so an empty table still gives its result rows.
-    measured = df.groupBy(*by).agg(F.count("*").alias("_rows"), *aggregates)
-    return measured.select(*by, F.inline(F.array(*results)))
+    """All checks as one aggregate row, which is then turned into one row per check.
+
+    What is known about the checks travels as one literal next to the arrays of measured values.
+    """
+    known = [
+        {"rule_name": c.rule_name, "column": c.column, "severity": c.severity, "message": c.message, "passed": c.passed}
+        for c in checks
+    ]
+    measured = {"failing": "0L", "total": "0L", "fresh": "CAST(NULL AS BOOLEAN)",
+                "age_hours": "CAST(NULL AS DOUBLE)", "age_text": "CAST(NULL AS STRING)"}
+    aggregates, arrays = [], []
+    for part, absent in measured.items():
+        cells = []
+        for i, c in enumerate(checks):
+            value = getattr(c, part)
+            if value is not None:
+                aggregates.append(value.alias(f"_{part}_{i}"))
+            cells.append(absent if value is None else f"_{part}_{i}")
+        arrays.append(F.expr(f"array({', '.join(cells)})").alias(part))
+    # The row count keeps the aggregate alive where all checks are known beforehand.
+    row = df.groupBy(*by).agg(F.count("*").alias("_rows"), *aggregates)
+    zipped = row.select(*by, F.from_json(F.lit(json.dumps(known)), _KNOWN).alias("known"), *arrays).select(
+        *by, F.explode(F.arrays_zip("known", *measured)).alias("_r")
+    )
+    return zipped.select(*by, "_r.known.*", *[f"_r.{part}" for part in measured]).select(
+        *by,
+        "rule_name",
+        F.lit(table_name).alias("table_name"),
+        F.coalesce("passed", "fresh", F.col("failing") == 0).alias("passed"),
+        "severity",
+        F.coalesce("age_text", "message").alias("message"),
+        F.col("failing").alias("failing_rows"),
+        F.col("total").alias("total_rows"),
+        "column",
+        "age_hours",
+        now.alias("checked_at"),
+    )
 
 
 def validate(

@@ -238,20 +238,17 @@ def sessions_per_week(log: DataFrame, legacy_week: bool = False) -> DataFrame:
 def overview(log: DataFrame) -> DataFrame:
     """Key figures of the whole log in one row.
 
-    The log is reduced to one row per athlete, day and exercise first; the three distinct counts
-    then run on that, instead of expanding every set three times.
+    Tasks reduce their rows to the distinct athletes, days and exercises they hold before anything
+    is shuffled.
     """
-    reduced = log.groupBy("athlete_id", "workout_date", "exercise").agg(
-        F.count("*").alias("_sets"), F.sum(_lifted().cast("decimal(18,4)")).alias("_volume")
-    )
-    volume_kg = F.sum("_volume").cast("double")
-    return reduced.agg(
-        rounded(F.sum("_volume"), 1).alias("total_volume_kg"),
+    volume_kg = F.sum(_lifted().cast("decimal(18,4)"))
+    return log.agg(
+        rounded(volume_kg, 1).alias("total_volume_kg"),
         F.count_distinct("athlete_id").alias("athletes"),
         F.count_distinct("workout_date").alias("training_days"),
         F.count_distinct("exercise").alias("exercises"),
-        F.sum("_sets").alias("total_sets"),
-        F.coalesce(rounded(ratio(volume_kg, F.sum("_sets")), 1), F.lit(0.0)).alias("avg_volume_per_set"),
+        F.count("*").alias("total_sets"),
+        F.coalesce(rounded(ratio(volume_kg, F.count("*")), 1), F.lit(0.0)).alias("avg_volume_per_set"),
     )
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime SQL settings every job in this package relies on. They can be set on a session
 # somebody else created, so queries never depend on how the session was built.
@@ -26,6 +27,7 @@ RUNTIME_CONF = {
 # round trips to the JVM per column expression, which adds up in plans with hundreds of them.
 STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
+_schemas: dict[str, StructType] = {}
 _local_scratch: dict[str, str] = {}
 
 
@@ -43,7 +45,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """An input table. Its schema is read from the footers once, not in a job per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = _schemas.get(path)
+    if known is None:
+        df = spark.read.parquet(path)
+        _schemas[path] = df.schema
+        return df
+    return spark.read.schema(known).parquet(path)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
