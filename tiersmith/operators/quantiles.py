@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Cut points are searched in two steps of SIDE comparisons, which gives SIDE * SIDE buckets.
 SIDE = 16
-FIGURES = ["total_count", "mean", "min", "max", "zeros", "negatives"]
+FIGURES = ["total_count", "mean", "min", "max", "zeros", "negatives", "std"]
 
 
 def value_counts(values: DataFrame, groups: list[str], value: str = "value") -> DataFrame:
@@ -15,21 +15,13 @@ def value_counts(values: DataFrame, groups: list[str], value: str = "value") ->
     return values.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
 
 
-def group_figures(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Per group the cut points and ``_figures``: count, mean, minimum, maximum, zeros, negatives."""
+def cut_points(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Per group the mean and the cut points, all of them and every SIDE-th."""
     v, n = F.col(value), F.col("n")
     exact_sum = F.sum((v.try_cast("decimal(18,4)") * n).cast("decimal(38,4)")).cast("double")
     inner = [i / SIDE**2 for i in range(1, SIDE**2)]
     heads = counts.groupBy(*groups).agg(
-        F.percentile_approx(v, inner, 5000).alias("_cuts"),
-        F.struct(
-            F.sum(n).alias("total_count"),
-            (exact_sum / F.sum(n)).alias("mean"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
-            F.sum(F.when(v == 0, n).otherwise(0)).alias("zeros"),
-            F.sum(F.when(v < 0, n).otherwise(0)).alias("negatives"),
-        ).alias("_figures"),
+        F.percentile_approx(v, inner, 5000).alias("_cuts"), (exact_sum / F.sum(n)).alias("mean")
     )
     every = F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.element_at("_cuts", i * SIDE))
     return heads.withColumn("_coarse_cuts", every)
@@ -59,8 +51,8 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
     one task.
     """
     v, n = F.col(value), F.col("n")
-    heads = F.broadcast(group_figures(counts, groups, value))
-    # At most SIDE * SIDE rows per group.
+    heads = F.broadcast(cut_points(counts, groups, value))
+    # At most SIDE * SIDE rows per group. Plain numbers only, so that it stays a hash aggregate.
     per_bucket = (
         with_bucket(counts.join(heads, groups), value)
         .groupBy(*groups, "_bucket")
@@ -68,13 +60,15 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
             F.sum(n).alias("_rows"),
             F.min(v).alias("_low"),
             F.max(v).alias("_high"),
-            F.sum(n * F.pow(v - F.col("_figures.mean"), 2)).alias("_squares"),
-            F.any_value("_figures").alias("_figures"),
+            F.sum(F.when(v == 0, n).otherwise(0)).alias("_zeros"),
+            F.sum(F.when(v < 0, n).otherwise(0)).alias("_negatives"),
+            F.sum(n * F.pow(v - F.col("mean"), 2)).alias("_squares"),
+            F.max("mean").alias("mean"),
         )
     )
 
     def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_figures.total_count") - 1)
+        return F.lit(float(p)) * (F.col("total_count") - 1)
 
     def holds(rank: Column, begin: Column, rows: Column) -> Column:
         return (rank >= begin) & (rank < begin + rows)
@@ -82,26 +76,35 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
     ranks = F.array_distinct(F.flatten(F.array(
         *[F.array(F.floor(position(p)), F.ceil(position(p))) for p in probs.values()]
     )))
-    earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    started = per_bucket.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).withColumn(
-        "_ranks", ranks
-    )
+    in_order = Window.partitionBy(*groups).orderBy("_bucket")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    started = per_bucket.withColumns(
+        {
+            "_start": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+            "total_count": F.sum("_rows").over(whole),
+        }
+    ).withColumn("_ranks", ranks)
     holds_rank = F.exists("_ranks", lambda r: holds(r, F.col("_start"), F.col("_rows")))
-    # One row per group with the few value ranges that hold a wanted rank.
+    spread = F.sqrt(F.try_divide(F.sum("_squares"), F.max("total_count") - 1))
+    # One row per group, with the few value ranges that hold a wanted rank.
     wanted = started.groupBy(*groups).agg(
         F.collect_list(F.when(holds_rank, F.struct("_bucket", "_start", "_low", "_high"))).alias("_ranges"),
-        F.any_value("_ranks").alias("_ranks"),
-        F.sum("_squares").alias("_squares"),
-        F.any_value("_figures").alias("_figures"),
+        F.max("total_count").alias("total_count"),
+        F.max("mean").alias("mean"),
+        F.min("_low").alias("min"),
+        F.max("_high").alias("max"),
+        F.sum("_zeros").alias("zeros"),
+        F.sum("_negatives").alias("negatives"),
+        spread.alias("std"),
     )
     in_range = F.filter("_ranges", lambda r: (v >= r["_low"]) & (v <= r["_high"]))
     running = Window.partitionBy(*groups, "_bucket").orderBy(value)
     at = (
         counts.join(F.broadcast(wanted), groups)
-        .select(*groups, value, "n", "_ranks", "_squares", "_figures", F.explode(in_range).alias("_range"))
+        .select(*groups, value, "n", *FIGURES, F.explode(in_range).alias("_range"))
         .withColumn("_bucket", F.col("_range._bucket"))
         .withColumn("_begin", F.col("_range._start") + F.sum("n").over(running) - n)
-        .filter(F.exists("_ranks", lambda r: holds(r, F.col("_begin"), n)))
     )
 
     def at_rank(rank: Column) -> Column:
@@ -113,16 +116,10 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
             at_rank(F.floor(position(p))).alias(f"_lo_{name}"),
             at_rank(F.ceil(position(p))).alias(f"_hi_{name}"),
         ]
-    found = at.groupBy(*groups).agg(
-        F.any_value("_figures").alias("_figures"), F.any_value("_squares").alias("_squares"), *bounds
-    )
+    found = at.groupBy(*groups).agg(*[F.max(f).alias(f) for f in FIGURES], *bounds)
 
     def interpolate(name: str, p: float) -> Column:
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         return (low + (high - low) * (position(p) - F.floor(position(p)))).alias(name)
 
-    spread = F.sqrt(F.try_divide(F.col("_squares"), F.col("_figures.total_count") - 1)).alias("std")
-    return found.select(
-        *groups, *[F.col(f"_figures.{f}") for f in FIGURES], spread,
-        *[interpolate(name, p) for name, p in probs.items()],
-    )
+    return found.select(*groups, *FIGURES, *[interpolate(name, p) for name, p in probs.items()])
