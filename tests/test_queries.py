@@ -53,3 +53,28 @@ def test_plans_stay_in_the_jvm(spark):
     for name in ("G2_exercise_progression", "F28_row_contracts", "G14_detect_new_prs", "H7_weight_trend"):
         plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    own = plan_of(entry.queries()["G25_rows_through_parent"](spark, SF_DIR))
+    assert "EqualTo(o_custkey,1)" in own
+    volume = plan_of(entry.queries()["D5_set_volume_and_e1rm"](spark, SF_DIR))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double,l_extendedprice:double>" in volume
+
+
+def test_sql_functions(spark):
+    from tiersmith.plans import roles, sql_surface
+
+    names = ("workouts", "workout_sets", "exercises", "body_metrics", "nutrition_logs")
+    sql_surface.register(spark, {n: getattr(roles, n)(spark, SF_DIR) for n in names})
+    one, many = spark.sql("SELECT calculate_e1rm(100D, 1), calculate_e1rm(100D, 8)").first()
+    assert (one, many) == (100.0, 126.7)
+    some = spark.sql("SELECT athlete_id, slug, count(*) AS n FROM e1rm_histories GROUP BY ALL ORDER BY n DESC, 1, 2").first()
+    rows = spark.sql(f"SELECT * FROM get_e1rm_history({some.athlete_id}, '{some.slug}')").collect()
+    assert len(rows) == some.n and all(r.estimated_1rm >= r.best_weight_kg for r in rows)
+    hit = spark.sql("SELECT athlete_id, workout_id, count(*) AS n FROM new_records GROUP BY ALL ORDER BY n DESC, 1, 2").first()
+    assert spark.sql(f"SELECT * FROM detect_new_prs({hit.athlete_id}, {hit.workout_id})").count() == hit.n

@@ -15,7 +15,7 @@ from tiersmith.functions.dates import minutes_between
 from tiersmith.functions.numeric import e1rm
 from tiersmith.functions.text import STOP_WORDS
 from tiersmith.operators import contracts, integrity, policies, records, scd, search, staging
-from tiersmith.plans import athletes, health, roles, training
+from tiersmith.plans import athletes, health, roles, sql_surface, training
 from tiersmith.session import table
 
 AS_OF = "2024-02-01 00:00:00"
@@ -672,3 +672,72 @@ def metrics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def meal_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.meal_summary(roles.nutrition_logs(spark, sf_dir)).orderBy(F.desc("avg_calories"))
+
+
+# ---- the same through SQL ----
+
+
+def _sql_tables(spark: SparkSession, sf_dir: str) -> None:
+    tables = _tables(spark, sf_dir) | {"nutrition_logs": roles.nutrition_logs(spark, sf_dir)}
+    sql_surface.register(spark, tables)
+
+
+@query(
+    "K_sql_scalar_function",
+    with_roles(
+        "workout_sets",
+        f"SELECT exercise_id, MAX({E1RM_EXACT}) AS best_e1rm FROM workout_sets GROUP BY exercise_id",
+    ),
+)
+def sql_scalar_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _sql_tables(spark, sf_dir)
+    return spark.sql(
+        "SELECT exercise_id, max(calculate_e1rm(weight_kg, reps)) AS best_e1rm FROM workout_sets GROUP BY exercise_id"
+    )
+
+
+@query(
+    "K_sql_view",
+    with_roles(
+        "body_metrics",
+        f"""SELECT athlete_id, COUNT(*) AS measurements, MAX({rnd("abs(coalesce(right_arm_cm, 0) - coalesce(left_arm_cm, 0))", 1)})
+            AS widest FROM body_metrics WHERE waist_cm IS NOT NULL GROUP BY athlete_id""",
+    ),
+)
+def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _sql_tables(spark, sf_dir)
+    return spark.sql(
+        """SELECT athlete_id, count(*) AS measurements, max(arm_difference_cm) AS widest
+           FROM body_composition_weekly GROUP BY athlete_id"""
+    )
+
+
+@query(
+    "K_sql_table_function",
+    with_roles(
+        "set_rows",
+        f"""SELECT CAST(date_trunc('week', workout_date) AS DATE) AS week_start, COUNT(*) AS total_sets,
+            {rnd(dsum("weight_kg * reps"), 2)} AS total_volume_kg FROM set_rows
+            WHERE status = 'completed' AND set_type <> 'warmup' AND athlete_id = {ATHLETE}
+            GROUP BY date_trunc('week', workout_date)""",
+    ),
+)
+def sql_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _sql_tables(spark, sf_dir)
+    return spark.sql(f"SELECT week_start, total_sets, total_volume_kg FROM calculate_weekly_volume({ATHLETE})")
+
+
+@query(
+    "K_sql_new_records_of_workout",
+    with_roles(
+        "workouts workout_sets",
+        f"SELECT exercise_id, new_value, previous_value FROM ({PR_SQL}) WHERE athlete_id = {ATHLETE} AND workout_id = (SELECT min(id) FROM workouts WHERE athlete_id = {ATHLETE})",
+        candidates=CANDIDATES, ranked=RANKED,
+    ),
+)
+def sql_new_records_of_workout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _sql_tables(spark, sf_dir)
+    return spark.sql(
+        f"""SELECT exercise_id, new_value, previous_value FROM new_records
+            WHERE athlete_id = {ATHLETE} AND workout_id = (SELECT min(id) FROM workouts WHERE athlete_id = {ATHLETE})"""
+    )

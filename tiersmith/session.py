@@ -19,7 +19,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Collecting aggregates sort their input once a task has seen 128 keys, long before memory is
     # short. The bound stays small enough for an executor: lists here are per workout or per page.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "5000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
