@@ -17,12 +17,13 @@ def skewed(spark):
     rnd = random.Random(3)
     data = []
     for i in range(900):
-        key = "hot" if i % 3 else f"k{rnd.randint(0, 20)}"
+        key = "hot" if i % 3 else rnd.choice([None, "k1", "k2", "k3", "k4", "k5", "k6"])
         ts = START + datetime.timedelta(minutes=rnd.randint(0, 3000))
         value = None if rnd.random() < 0.1 else round(rnd.random() * 100, 2)
         data.append((i, key, ts, value))
     df = spark.createDataFrame(data, "id int, k string, ts timestamp, v double")
-    return data, df.selectExpr("*", "date_trunc('hour', ts) as bucket")
+    # "hot" is split by the hour, the small keys are not.
+    return data, ordered.with_time_bucket(df, ["k"], "ts", "bucket", hot_rows=100)
 
 
 def by_key(data):
@@ -32,6 +33,14 @@ def by_key(data):
     return out
 
 
+def test_only_hot_keys_are_split(skewed):
+    _, df = skewed
+    buckets = {r.k: r.n for r in df.groupBy("k").agg({"bucket": "count"}).withColumnRenamed("count(bucket)", "n").collect()}
+    assert len(buckets) == 8
+    split = {r.k: r.n for r in df.select("k", "bucket").distinct().groupBy("k").count().withColumnRenamed("count", "n").collect()}
+    assert split.pop("hot") > 20 and set(split.values()) == {1}
+
+
 def test_previous_value(skewed):
     data, df = skewed
     got = {r.id: r.p for r in ordered.previous_value(df, ["k"], "bucket", ["ts", "id"], "v", "p").collect()}

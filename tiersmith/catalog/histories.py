@@ -307,7 +307,7 @@ def gated_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("J1_file_arrival_ingest", "SELECT event_id, user_id, value, 'event_drop' AS _source_name, 'events.parquet' AS _source_file FROM events")
 def file_arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    stream = arrivals.arrivals(spark, sf_dir, schema, "parquet", "events.parquet")
+    stream = arrivals.arrivals(spark, f"{sf_dir}/events.parquet*", schema, "parquet")
     target, state = scratch_dir(spark, "landed"), scratch_dir(spark, "landed-state")
     arrivals.land(stream, "event_drop", target, state, drain=True).awaitTermination()
     landed = spark.read.parquet(target)
@@ -322,7 +322,7 @@ def file_arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_feed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as changes of a per-user row; an error event deletes the row."""
     schema = table(spark, sf_dir, "events").schema
-    feed = arrivals.arrivals(spark, sf_dir, schema, "parquet", "events.parquet")
+    feed = arrivals.arrivals(spark, f"{sf_dir}/events.parquet*", schema, "parquet")
     op = F.when(F.col("event_type") == "error", changes.DELETE).otherwise("UPSERT")
     rows = feed.select("user_id", "event_id", "value", op.alias("op"))
     log, state = scratch_dir(spark, "changes"), scratch_dir(spark, "changes-state")

@@ -72,14 +72,17 @@ def body_composition(df: DataFrame) -> DataFrame:
     )
 
 
-def weight_change(df: DataFrame, athlete: str = "athlete_id", tie_break: list[str] | None = None) -> DataFrame:
+def weight_change(
+    df: DataFrame, athlete: str = "athlete_id", tie_break: list[str] | None = None,
+    hot_rows: int = ordered.HOT_ROWS,
+) -> DataFrame:
     """Change against the athlete's previous measurement. Null on the first one."""
     date = next((c for c in ("measured_at", "date") if c in df.columns), None)
     if "weight_kg" not in df.columns or date is None:
         return df
     keys = [athlete] if athlete in df.columns else []
     order = [date, *(tie_break or [c for c in ("id",) if c in df.columns])]
-    timed = df.withColumn("_bucket", F.date_trunc("hour", F.col(date))).withColumn(
+    timed = ordered.with_time_bucket(df, keys, date, hot_rows=hot_rows).withColumn(
         "_weight", number("weight_kg")
     )
     out = ordered.previous_value(timed, keys, "_bucket", order, "_weight", "_previous")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiersmith.functions.numeric import exact_total, mean, number, ratio, rounded, total
-from tiersmith.operators.ordered import moving_mean
+from tiersmith.operators.ordered import moving_mean, with_time_bucket
 
 
 def daily_nutrition_totals(logs: DataFrame) -> DataFrame:
@@ -75,9 +75,8 @@ def weight_trend(metrics: DataFrame, order: list[str], athletes: list | None = N
     """Weight of every measurement with the mean over the athlete's last seven measurements."""
     if athletes is not None:
         metrics = metrics.filter(F.col("athlete_id").isin(athletes))
-    timed = metrics.select("athlete_id", *order, number("weight_kg").alias("weight_kg")).withColumn(
-        "_bucket", F.date_trunc("hour", F.col(order[0]))
-    )
+    series = metrics.select("athlete_id", *order, number("weight_kg").alias("weight_kg"))
+    timed = with_time_bucket(series, ["athlete_id"], order[0])
     out = moving_mean(timed, ["athlete_id"], "_bucket", order, "weight_kg", "_mean", rows)
     return out.withColumn("moving_avg", rounded("_mean", 2)).drop("_bucket", "_mean")
 
