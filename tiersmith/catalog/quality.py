@@ -11,8 +11,9 @@ from tiersmith.catalog.registry import query
 from tiersmith.catalog.sqltext import in_list, rnd, with_roles
 from tiersmith.functions import codes
 from tiersmith.operators import anomalies, contracts, profiling, scoring, validation
-from tiersmith.plans import roles
-from tiersmith.session import table
+from tiersmith.plans import medallion, roles
+from tiersmith.session import scratch_dir, table
+from tiersmith.sources import store
 
 NOW = "2024-02-01 00:00:00"
 
@@ -551,10 +552,6 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_only_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store all four datasets as silver, then score what is stored, without ingesting anything."""
-    from tiersmith.plans import medallion
-    from tiersmith.session import scratch_dir
-    from tiersmith.sources import store
-
     root = scratch_dir(spark, "silver")
     for name, load in DATASETS.items():
         store.write_silver(load(spark, sf_dir), root, "file_drop", name)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tiersmith.catalog.registry import query
 from tiersmith.catalog.sqltext import avg, dsum, epley, in_list, rnd, tot, when, with_roles
 from tiersmith.catalog.warehouse import scd_inputs
-from tiersmith.functions import codes
 from tiersmith.functions.dates import minutes_between
 from tiersmith.functions.numeric import e1rm
 from tiersmith.functions.text import STOP_WORDS
@@ -19,10 +18,9 @@ from tiersmith.plans import athletes, health, roles, sql_surface, training
 from tiersmith.session import table
 
 AS_OF = "2024-02-01 00:00:00"
-
 WORKING = "set_type = 'working'"
 # Parameters of the reports.
-ATHLETE, OTHER_ATHLETE = 1, 2
+ATHLETE = 1
 PERIOD = ("1997-01-01", "1998-12-31")
 
 
@@ -306,7 +304,7 @@ def log_sets_with_pr_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STAGED_SQL = """SELECT s_suppkey AS stg_id, CASE WHEN s_acctbal < 0 THEN '!!' WHEN s_nationkey < 12 THEN initcap(n)
+STAGED_SQL = """SELECT s_suppkey AS stg_id, CASE WHEN s_acctbal < 0 THEN '!!' WHEN s_nationkey < 12 THEN upper(n)
       ELSE s_name END AS name, CASE WHEN s_nationkey > 5 THEN 'text ' || s_suppkey END AS description
     FROM (SELECT *, (SELECT min(p_name) FROM part WHERE p_size = s_nationkey + 1) AS n FROM supplier)"""
 
@@ -332,7 +330,6 @@ def library(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy("slug").agg(F.max_by(F.struct(*e.columns), F.col("id").cast("long")).alias("r")).select("r.*")
 
 
-STAGED_SQL = STAGED_SQL.replace("initcap(n)", "upper(n)")
 SLUGGED = f"""SELECT *, trim(regexp_replace(regexp_replace(lower(name), '[^a-z0-9\\s]', '', 'g'), '\\s+', '-', 'g'), '-') AS slug
     FROM staged"""
 LATE = """SELECT slug, arg_max(name, stg_id) AS n, arg_max(description, stg_id) FILTER (WHERE description IS NOT NULL) AS t,
