@@ -1,7 +1,8 @@
 """URL filter: rules for hosts and path prefixes, and a logistic regression where no rule fits.
 
 The regression sees hashed character n-grams of host and path and is trained by Spark ML on a small
-labelled table. Everything is DataFrame and SQL functions and JVM transformers.
+labelled table. Scoring is one SQL expression per row: the weights of a row's n-grams are looked up in
+an array of ``FEATURES`` numbers, whose size is fixed.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and fits no rule; its
 verdict is the regression's for no n-grams. Among fitting rules the longest wins, host before path.
@@ -12,10 +13,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,47 +72,58 @@ def rule_index(host: Column, path: Column, rules: tuple[Rule, ...]) -> list[tupl
     return [(((host == r.host) | host.endswith(f".{r.host}")) & path.startswith(r.path), r) for r in ranked]
 
 
-def gram_columns(urls: DataFrame) -> DataFrame:
-    """``urls`` (with ``__host``, ``__path``) and the n-grams of both, marked by where they come from."""
+def gram_numbers() -> Column:
+    """Distinct hashed n-grams of ``__host`` and ``__path``, marked by where they come from."""
     parts = []
     for mark, column in (("h", "__host"), ("p", "__path")):
         for n in GRAMS:
             text = f"concat('^', {column}, '$')"
+            gram = f"concat('{mark}', substring({text}, i, {n}))"
             parts.append(
-                f"if(length({text}) < {n}, array(), transform(sequence(1, length({text}) - {n - 1}), i -> concat('{mark}', substring({text}, i, {n}))))"
+                f"if(length({text}) < {n}, array(), transform(sequence(1, length({text}) - {n - 1}),"
+                f" i -> cast(pmod(xxhash64({gram}), {FEATURES}) AS int)))"
             )
-    return urls.withColumn("__grams", F.expr(f"concat({', '.join(parts)})"))
+    return F.expr(f"array_distinct(concat({', '.join(parts)}))")
 
 
-def model(spark: SparkSession, labels: DataFrame | None = None) -> PipelineModel:
-    """The trained regression; ``labels`` has ``url`` and ``label`` (1: block)."""
+@dataclass(frozen=True)
+class UrlModel:
+    """Weight of each hashed n-gram for blocking, and the intercept."""
+
+    weights: tuple[float, ...]
+    intercept: float
+
+    def score(self, grams: str) -> Column:
+        """Probability of blocking; the weights are a constant of the plan."""
+        weights = "from_json('[" + ",".join(f"{w:.9g}" for w in self.weights) + "]', 'array<double>')"
+        return F.expr(f"1 / (1 + exp(-aggregate({grams}, {self.intercept!r}D, (s, g) -> s + element_at({weights}, g + 1))))")
+
+
+def trained(spark: SparkSession, labels: DataFrame | None = None) -> UrlModel:
+    """The regression on ``labels (url, label)``, 1 for urls to block."""
     labels = labels if labels is not None else labelled(spark)
     host, path = host_and_path(F.col("url"))
-    rows = gram_columns(labels.withColumn("__host", host).withColumn("__path", path))
-    steps = [
-        HashingTF(inputCol="__grams", outputCol="__features", numFeatures=FEATURES, binary=True),
-        LogisticRegression(
-            featuresCol="__features", labelCol="label", regParam=0.01, maxIter=50,
-            rawPredictionCol="__raw", probabilityCol="__probability", predictionCol="__predicted",
-        ),
-    ]
-    return Pipeline(stages=steps).fit(rows.select("__grams", "label"))
+    rows = labels.withColumn("__host", host).withColumn("__path", path).withColumn("__grams", gram_numbers())
+    dense = F.expr(f"transform(sequence(0, {FEATURES - 1}), i -> cast(array_contains(__grams, i) AS double))")
+    rows = rows.select(array_to_vector(dense).alias("features"), "label")
+    fitted = LogisticRegression(regParam=0.01, maxIter=50).fit(rows)
+    return UrlModel(tuple(float(w) for w in fitted.coefficients), float(fitted.intercept))
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fitted: PipelineModel | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fitted: UrlModel | None = None) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict`` and the regression's ``score`` for blocking."""
-    fitted = fitted or model(pages.sparkSession)
+    fitted = fitted or trained(pages.sparkSession)
     host, path = host_and_path(F.col("url"))
-    pages = pages.drop("host", "path", "rule", "verdict", "score").withColumn("__host", host).withColumn("__path", path)
-    # One pass of hashing and one dot product a row, in the JVM.
-    scored = fitted.transform(gram_columns(pages)).withColumn("score", vector_to_array("__probability")[1])
+    pages = pages.drop("host", "path", "rule", "verdict", "score")
+    scored = pages.withColumn("__host", host).withColumn("__path", path).withColumn("__grams", gram_numbers())
+    scored = scored.withColumn("score", fitted.score("__grams"))
     rule = decided = None
     for fits, r in rule_index(F.col("__host"), F.col("__path"), rules):
         rule = F.when(fits, r.name) if rule is None else rule.when(fits, r.name)
         decided = F.when(fits, r.verdict) if decided is None else decided.when(fits, r.verdict)
     learned = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select(
-        *(c for c in pages.columns if not c.startswith("__")),
+        *pages.columns,
         F.col("__host").alias("host"),
         F.col("__path").alias("path"),
         (rule if rule is not None else F.lit(None).cast("string")).alias("rule"),
