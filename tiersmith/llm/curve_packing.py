@@ -114,7 +114,9 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, length: int = SEQUE
     """The pieces: ``doc_id, start, length, doc_tokens, sequence_id, offset`` and ``ids`` (32 bits, little-endian)."""
     definition = Path(tokenizer_path or default_tokenizer()).read_text()
     tokens = stored(tokenized(docs, definition, end_id), "tokens")
-    placed = tokens.join(positions(tokens), F.col("row") == F.col("r")).select("doc_id", "n", "ids", "place")
+    # Both sides are written tables; the merge join is asked for because the positions grow with the
+    # documents: broadcasting them while they are few would only hide that.
+    placed = tokens.join(positions(tokens).hint("merge"), F.col("row") == F.col("r")).select("doc_id", "n", "ids", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
