@@ -1,5 +1,7 @@
 """Registered queries next to their SQL on the smallest tables."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -31,7 +33,8 @@ def con():
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    own = {n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)}
+    without = own - set(entry.oracle_sql())
     assert without == {"A4_file_discovery", "F30_contract_on_sample"}
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tiersmith.operators import dimensions, scd, staging
+from tiersmith.operators import dimensions, records, scd, staging
 
 T0, T1, T2 = ("2023-01-01 00:00:00", "2024-01-01 00:00:00", "2024-06-01 00:00:00")
 
@@ -91,3 +91,28 @@ def test_staged_merge(spark):
     audit = {r.target_record_id: r for r in staging.merge_audit(merged, "b1", at(T1)).collect()}
     assert audit["squat"].event_type == "UPDATE" and audit["squat"].old_values == '{"name":"Squat","instructions":"old"}'
     assert audit["new-one"].old_values is None
+
+
+def test_merging_twice_changes_nothing_also_with_a_null_key(spark):
+    load = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    first = scd.first_load(load, F.lit("2024-01-01").cast("timestamp"))
+    later = F.lit("2024-02-01").cast("timestamp")
+    assert rows(scd.merge(first, load, ["k"], ["v"], later)) == rows(first)
+    wider = load.withColumn("w", F.lit("new"))
+    once = scd.merge(first, wider, ["k"], ["v", "w"], later)
+    assert "w" in once.columns and once.filter("is_current").filter("w = 'new'").count() == 2
+    assert rows(scd.merge(once, wider, ["k"], ["v", "w"], later)) == rows(once)
+
+
+def test_logged_sets_take_every_type_and_name_unknown_exercises(spark):
+    sets = spark.createDataFrame(
+        [(1, 7, 1, "warmup", 100.0, 1), (1, 7, 2, "working", 90.0, 5), (1, 9, 3, "working", 50.0, 5), (2, 7, 1, "working", 1.0, 1)],
+        "workout_id int, exercise_id int, set_number int, set_type string, weight_kg double, reps int",
+    )
+    workouts = spark.createDataFrame([(1, 5, "2024-01-01")], "id int, athlete_id int, workout_date string").withColumn(
+        "workout_date", F.col("workout_date").cast("date")
+    )
+    known, unknown = records.logged_sets(sets, workouts, spark.createDataFrame([(7,)], "id int"))
+    flagged = records.flag_sets(known, ["workout_date", "workout_id", "set_number"])
+    assert rows(flagged, "set_number", "estimated_1rm", "previous_pr", "is_pr") == [(1, 100.0, None, True), (2, 105.0, 100.0, True)]
+    assert rows(unknown, "set_number", "error") == [(1, "workout not found"), (3, "exercise not found")]

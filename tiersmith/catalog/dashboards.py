@@ -57,33 +57,27 @@ def _muscle_sql(where: str) -> str:
         "workout_log",
         f"""SELECT coalesce(muscle, 'other') AS muscle, {rnd(dsum(VOLUME), 1)} AS volume_kg
             FROM workout_log LEFT JOIN lookup USING (exercise) {where} GROUP BY ALL""",
-        lookup="""SELECT name AS exercise, arg_max(primary_muscle, id) AS muscle FROM exercises
-            WHERE name NOT LIKE 'red %' GROUP BY name""",
+        lookup="""SELECT name AS exercise, arg_max(primary_muscle, id) AS muscle FROM exercises GROUP BY name""",
     )
 
 
-def _known_exercises(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The library without one family of names, so that some exercises have no muscle."""
-    return roles.exercises(spark, sf_dir).filter(~F.col("name").startswith("red "))
-
-
 @query("H3_volume_by_muscle", _muscle_sql(""))
 def volume_by_muscle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.volume_by_muscle(log(spark, sf_dir), _known_exercises(spark, sf_dir))
+    return training.volume_by_muscle(log(spark, sf_dir), roles.exercises(spark, sf_dir))
 
 
 @query("H11_muscle_balance", _muscle_sql("WHERE muscle IS NOT NULL"))
 def muscle_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.volume_by_muscle(log(spark, sf_dir), _known_exercises(spark, sf_dir), drop_other=True)
+    return training.volume_by_muscle(log(spark, sf_dir), roles.exercises(spark, sf_dir), drop_other=True)
 
 
 @query(
     "H4_calorie_trend",
     with_roles(
         "nutrition_logs",
-        f"""SELECT log_date, {rnd("c", 2)} AS calories, {rnd("""CAST(SUM(c) OVER (ORDER BY log_date ROWS BETWEEN 6
+        f"""SELECT log_date, {rnd("c", 2)} AS calories, {rnd("""CAST(SUM(CAST(c AS DECIMAL(28,6))) OVER (ORDER BY log_date ROWS BETWEEN 6
             PRECEDING AND CURRENT ROW) AS DOUBLE) / COUNT(*) OVER (ORDER BY log_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", 2)}
-            AS moving_avg FROM (SELECT log_date, SUM(CAST(calories AS DECIMAL(18,4))) AS c FROM nutrition_logs GROUP BY log_date)""",
+            AS moving_avg FROM (SELECT log_date, SUM(CAST(calories AS DECIMAL(28,6))) AS c FROM nutrition_logs GROUP BY log_date)""",
     ),
 )
 def calorie_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +114,7 @@ def calories_by_meal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weight_sql(where: str) -> str:
     frame = "OVER (PARTITION BY athlete_id ORDER BY measured_at, id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
-    mean = f"CAST(SUM(CAST(weight_kg AS DECIMAL(18,4))) {frame} AS DOUBLE) / COUNT(weight_kg) {frame}"
+    mean = f"SUM(CAST(weight_kg AS DECIMAL(28,6))) {frame} / COUNT(weight_kg) {frame}"
     return with_roles(
         "body_metrics",
         f"SELECT athlete_id, measured_at, id, weight_kg, {rnd(mean, 2)} AS moving_avg FROM body_metrics {where}",
@@ -199,7 +193,7 @@ def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily(by: str = "") -> str:
-    return f"""SELECT {by} log_date, SUM(CAST(calories AS DECIMAL(18,4))) AS c, SUM(CAST(protein_g AS DECIMAL(18,4))) AS p
+    return f"""SELECT {by} log_date, SUM(CAST(calories AS DECIMAL(28,6))) AS c, SUM(CAST(protein_g AS DECIMAL(28,6))) AS p
         FROM nutrition_logs GROUP BY {by} log_date"""
 
 
@@ -207,7 +201,7 @@ def _daily(by: str = "") -> str:
     "H15_avg_daily_calories",
     with_roles(
         "nutrition_logs",
-        f"SELECT {rnd('CAST(SUM(c) AS DOUBLE) / COUNT(c)', 1)} AS avg_daily_calories FROM daily",
+        f"SELECT {rnd('CAST(SUM(CAST(c AS DECIMAL(28,6))) AS DOUBLE) / COUNT(c)', 1)} AS avg_daily_calories FROM daily",
         daily=_daily(),
     ),
 )
@@ -246,7 +240,7 @@ def record_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nutrition_logs body_metrics",
         f"""SELECT athlete_id, {rnd("c", 1)} AS avg_daily_calories, {rnd("p", 1)} AS avg_daily_protein,
             {rnd("CASE WHEN w > 0 THEN p / w ELSE 0 END", 2)} AS protein_per_kg FROM (
-              SELECT athlete_id, CAST(SUM(c) AS DOUBLE) / COUNT(*) AS c, CAST(SUM(p) AS DOUBLE) / COUNT(*) AS p
+              SELECT athlete_id, CAST(SUM(CAST(c AS DECIMAL(28,6))) AS DOUBLE) / COUNT(*) AS c, CAST(SUM(CAST(p AS DECIMAL(28,6))) AS DOUBLE) / COUNT(*) AS p
               FROM daily GROUP BY athlete_id) LEFT JOIN (
               SELECT athlete_id, {avg("weight_kg")} AS w FROM body_metrics GROUP BY athlete_id) USING (athlete_id)""",
         daily=_daily("athlete_id,"),
@@ -335,7 +329,7 @@ CARDS = {
     "lifts": f"""SELECT athlete_id, COUNT(*) AS total_sets, COUNT(DISTINCT workout_date) AS training_days,
         {rnd(dsum(VOLUME), 1)} AS total_volume FROM workout_log GROUP BY athlete_id""",
     "daily": _daily("athlete_id,"),
-    "food": f"SELECT athlete_id, {rnd('CAST(SUM(c) AS DOUBLE) / COUNT(c)', 1)} AS avg_daily_calories FROM daily GROUP BY athlete_id",
+    "food": f"SELECT athlete_id, {rnd('CAST(SUM(CAST(c AS DECIMAL(28,6))) AS DOUBLE) / COUNT(c)', 1)} AS avg_daily_calories FROM daily GROUP BY athlete_id",
     "cards": """SELECT athlete_id, coalesce(avg_weight, 0) AS avg_weight, coalesce(avg_body_fat, 0) AS avg_body_fat,
         coalesce(avg_resting_hr, 0) AS avg_resting_hr, coalesce(avg_recovery, 0) AS avg_recovery,
         coalesce(total_sets, 0) AS total_sets, coalesce(training_days, 0) AS training_days,

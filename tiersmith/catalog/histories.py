@@ -231,9 +231,9 @@ def alert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.alert_counts(alerts(spark, sf_dir))
 
 
-@query("I10_alert_retention", _scores_sql("SELECT COUNT(*) AS kept, MIN(CAST(scored_at AS TIMESTAMP)) AS oldest FROM (SELECT * FROM alerts ORDER BY scored_at DESC LIMIT 1000)", **ALERTS))
+@query("I10_alert_retention", _scores_sql("SELECT COUNT(*) AS kept, MIN(CAST(scored_at AS TIMESTAMP)) AS oldest FROM alerts", **ALERTS))
 def alert_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appends the alerts to a log and applies the retention of 1000 rows."""
+    """Appends the alerts to a log, which keeps all of them unless an age is given."""
     path = scratch_dir(spark, "alerts")
     alerts(spark, sf_dir).write.mode("append").parquet(path)
     kept = history.retained_alerts(spark.read.parquet(path))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tiersmith.catalog.registry import query
@@ -78,7 +78,7 @@ NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def _numeric_sql(c: str) -> str:
     return f"""SELECT '{c}' AS "column", MIN({c}) AS min, MAX({c}) AS max,
-        {rnd(f"CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({c})", 4)} AS mean,
+        {rnd(f"favg(CAST({c} AS DOUBLE))", 4)} AS mean,
         {rnd(f"stddev_samp({c})", 4)} AS std, COUNT(*) FILTER (WHERE {c} = 0) AS zeros,
         COUNT(*) FILTER (WHERE {c} < 0) AS negatives, {rnd(f"quantile_cont({c}, 0.25)", 4)} AS q25,
         {rnd(f"quantile_cont({c}, 0.5)", 4)} AS median, {rnd(f"quantile_cont({c}, 0.75)", 4)} AS q75 FROM lineitem"""
@@ -323,13 +323,9 @@ def rule_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def failed_checks_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing order made visible: one row per rule, so the position is cheap to number."""
-    listed = validation.failed_first(all_results(spark, sf_dir))
-    ids = F.array_sort(F.collect_list(F.struct(
-        "passed", validation.severity_order(F.col("severity")).alias("o"), "table_name", "rule_name", "severity",
-    )))
-    return listed.agg(ids.alias("r")).select(F.posexplode("r").alias("position", "r")).select(
-        "r.table_name", "r.rule_name", "r.severity", "r.passed", "position"
-    )
+    listed = validation.failed_first(all_results(spark, sf_dir)).withColumn("_at", F.monotonically_increasing_id())
+    place = (F.row_number().over(Window.orderBy("_at")) - 1).alias("position")
+    return listed.select("table_name", "rule_name", "severity", "passed", place)
 
 
 # ---- anomalies ----
@@ -345,9 +341,9 @@ def _column_values(columns: dict[str, list[str]]) -> str:
     )
 
 
-STATS_SQL = """SELECT table_name, "column", COUNT(*) AS n, CAST(SUM(CAST(v AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*) AS mean,
+STATS_SQL = """SELECT table_name, "column", COUNT(*) AS n, favg(v) AS mean,
     stddev_samp(v) AS std, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3
-    FROM vals GROUP BY table_name, "column" HAVING COUNT(*) >= 10"""
+    FROM vals GROUP BY table_name, "column""""
 FOUND_SQL = f"""SELECT s.table_name, s."column", MAX(n) AS total_count, MAX(mean) AS mean, MAX(std) AS std,
     MAX(abs(v - mean) / NULLIF(std, 0)) AS max_z, MAX(q1) AS q1, MAX(q3) AS q3,
     COUNT(*) FILTER (WHERE abs(v - mean) / NULLIF(std, 0) > 3) AS z,
@@ -403,8 +399,10 @@ def all_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     "F21_monitored_columns",
     _anomaly_sql(
         MONITORED,
-        f"""SELECT table_name, "column", method, anomaly_count, total_count, threshold,
-            {rnd("100 * CAST(anomaly_count AS DOUBLE) / total_count", 2)} AS anomaly_pct FROM (
+        f"""SELECT table_name, "column", method, CASE WHEN total_count >= 10 THEN anomaly_count END AS anomaly_count,
+            total_count, threshold, CASE WHEN total_count >= 10
+            THEN {rnd("100 * CAST(anomaly_count AS DOUBLE) / total_count", 2)} END AS anomaly_pct,
+            CASE WHEN total_count >= 10 THEN 'checked' ELSE 'too few values' END AS status FROM (
               SELECT table_name, "column", 'z_score' AS method, z AS anomaly_count, total_count,
                 CAST(3 AS DOUBLE) AS threshold FROM found
               UNION ALL SELECT table_name, "column", 'iqr', i, total_count, CAST(1.5 AS DOUBLE) FROM found)""",
@@ -492,7 +490,7 @@ def _score_sql(body: str) -> str:
         counts=counts_sql("results", "table_name"),
         nulls=_null_sql(),
         ages=ages,
-        bad="SELECT table_name, SUM(z + i) AS found, SUM(2 * total_count) AS checked FROM found GROUP BY table_name",
+        bad="SELECT table_name, SUM(z + i) AS found, SUM(2 * total_count) AS checked FROM found WHERE total_count >= 10 GROUP BY table_name",
         merged="SELECT * FROM nulls LEFT JOIN counts USING (table_name) LEFT JOIN bad USING (table_name) LEFT JOIN ages USING (table_name)",
         dims=parts_sql("merged", "table_name", ", coalesce(found, 0) AS anomalies_found"),
         scored=f"SELECT *, {rnd(OVERALL, 2)} AS overall_score FROM dims",

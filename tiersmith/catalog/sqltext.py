@@ -9,16 +9,17 @@ def rnd(x: str, digits: int = 0) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
 
 
+# Six decimals: a value beyond the type is an error here, so nothing is lost unnoticed.
 def dsum(x: str) -> str:
-    return f"SUM(CAST({x} AS DECIMAL(18,4)))"
+    return f"SUM(CAST({x} AS DECIMAL(28,6)))"
 
 
 def tot(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def avg(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
+    return f"(CAST(SUM(CAST({x} AS DECIMAL(28,6))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
 
 
 def when(condition: str, x: str) -> str:

@@ -128,7 +128,7 @@ def calculate_e1rm(spark: SparkSession, sf_dir: str) -> DataFrame:
     "G7_workout_detail",
     with_roles(
         "workouts workout_sets exercises",
-        """SELECT w.id AS workout_id, CAST(0 AS BIGINT) AS part, CAST(to_json({'id': id, 'workout_date': CAST(workout_date AS VARCHAR),
+        """SELECT w.id AS workout_id, CAST(to_json({'id': id, 'workout_date': CAST(workout_date AS VARCHAR),
              'status': status, 'duration_minutes': duration_minutes, 'total_volume_kg': total_volume_kg,
              'energy_level': energy_level, 'pump_rating': pump_rating}) AS VARCHAR) AS workout,
            CAST(x.exercises AS VARCHAR) AS exercises, '["' || tag || '"]' AS tags
@@ -287,20 +287,32 @@ def _stored_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return stored, candidates.filter(~old)
 
 
+# Every set counts for a log entry, and one repetition with its own weight.
+LOGGED = f"""SELECT s.*, w.athlete_id, w.workout_date, CASE WHEN s.reps = 1 THEN s.weight_kg
+    ELSE {epley("s.weight_kg", "s.reps")} END AS e FROM workout_sets s JOIN workouts w ON w.id = s.workout_id"""
+
+
 @query(
     "G11_log_sets_with_pr_flag",
     with_roles(
-        "workouts workout_sets",
-        """SELECT athlete_id, exercise_id, workout_id, set_number, weight_kg, reps, e AS estimated_1rm,
-           previous AS previous_pr, previous IS NULL OR e > previous AS is_pr FROM floored""",
-        candidates=CANDIDATES, stored=STORED, floored=FLOORED,
+        "workouts workout_sets exercises",
+        """SELECT athlete_id, exercise_id, workout_id, set_number, set_type, weight_kg, reps, e AS estimated_1rm,
+           previous AS previous_pr, previous IS NULL OR e > previous AS is_pr, CAST(NULL AS VARCHAR) AS error
+           FROM floored WHERE exercise_id IN (SELECT id FROM exercises)
+           UNION ALL SELECT athlete_id, exercise_id, workout_id, set_number, set_type, weight_kg, reps, e, NULL, NULL,
+           'exercise not found' FROM candidates WHERE exercise_id NOT IN (SELECT id FROM exercises)""",
+        candidates=LOGGED, stored=STORED, floored=FLOORED,
     ),
 )
 def log_sets_with_pr_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, batch = _stored_and_new(spark, sf_dir)
-    flagged = records.flag_sets(batch, ORDER, stored)
-    return flagged.select(
-        *records.KEYS, "workout_id", "set_number", "weight_kg", "reps", "estimated_1rm", "previous_pr", "is_pr"
+    known, unknown = records.logged_sets(*parts(spark, sf_dir))
+    old = F.col("workout_date") < F.lit(STORED_UNTIL).cast("date")
+    stored = known.filter(old).groupBy(*records.KEYS).agg(F.max("estimated_1rm").alias("value"))
+    flagged = records.flag_sets(known.filter(~old), ORDER, stored)
+    listed = flagged.unionByName(unknown, allowMissingColumns=True)
+    return listed.select(
+        *records.KEYS, "workout_id", "set_number", "set_type", "weight_kg", "reps", "estimated_1rm", "previous_pr",
+        "is_pr", "error",
     )
 
 
@@ -537,13 +549,12 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "G21_referential_checks",
-    """SELECT l_orderkey, l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)""",
+    "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier)",
 )
 def referential_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines against the half of the parts that is kept: all references to the others are orphans."""
-    kept = table(spark, sf_dir, "part").filter(F.col("p_size") <= 25)
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    return integrity.orphans(lines, "l_partkey", kept, "p_partkey")
+    """Orders checked against suppliers instead of customers: most references have no target."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return integrity.orphans(orders, "o_custkey", table(spark, sf_dir, "supplier"), "s_suppkey")
 
 
 GONE = "SELECT c_custkey FROM customer WHERE c_acctbal < 0"

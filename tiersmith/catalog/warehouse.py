@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tiersmith.catalog.registry import query
 from tiersmith.catalog.sqltext import dsum, rnd, with_roles
+from tiersmith.functions.numeric import rounded, total
 from tiersmith.operators import dimensions, enrich, scd
 from tiersmith.plans import roles
 from tiersmith.session import table
@@ -214,6 +215,6 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("year", "quarter", "activity_level")
         .agg(
             F.count("*").alias("workouts"),
-            F.round(F.sum(F.col("total_volume_kg").cast("decimal(18,4)")), 0).cast("double").alias("volume_kg"),
+            rounded(total("total_volume_kg"), 0).alias("volume_kg"),
         )
     )

@@ -1,12 +1,13 @@
 """Numeric column helpers.
 
-Sums and roundings go through DECIMAL so that a result does not depend on the order in which
-partial sums meet, nor on how a tie such as 2.05 is stored in binary.
+Sums go through DECIMAL where every value of the group fits, so that a result does not depend on the
+order in which partial sums meet; a group with larger or finer values is summed as doubles, and no
+value is left out. Roundings go through DECIMAL so that a tie such as 2.05 rounds as written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 # Unit factors and Epley divisor.
@@ -14,8 +15,12 @@ LB_TO_KG = 0.453592
 IN_TO_CM = 2.54
 EPLEY_DIVISOR = 30
 
-SUM_TYPE = "decimal(18,4)"
+# Six decimals (enough to take off the noise of a product of doubles) and 22 digits before them. What
+# does not fit is noticed, never dropped.
+SUM_TYPE = "decimal(28,6)"
 ROUND_TYPE = "decimal(38,8)"
+# A value fits if the decimal is this close to it, relatively.
+FIT = 1e-9
 
 
 def col(c: Column | str) -> Column:
@@ -27,28 +32,34 @@ def number(c: Column | str) -> Column:
     return col(c).try_cast("double")
 
 
-def dec(c: Column | str) -> Column:
-    return col(c).try_cast(SUM_TYPE)
-
-
 def rounded(c: Column | str, digits: int = 0) -> Column:
-    """Round half away from zero on the decimal value, as a double."""
-    return F.round(col(c).try_cast(ROUND_TYPE), digits).cast("double")
+    """Round half away from zero on the decimal value, as a double; numbers beyond it are whole anyway."""
+    c = col(c)
+    return F.coalesce(F.round(c.try_cast(ROUND_TYPE), digits).cast("double"), c.try_cast("double"))
 
 
-def exact_total(c: Column | str) -> Column:
-    """Sum as a decimal; round it before it becomes a double."""
-    return F.sum(dec(c))
+def _total(c: Column | str, over: WindowSpec | None = None) -> Column:
+    value = number(c)
+    exact = value.try_cast(SUM_TYPE)
+    fits = F.abs(exact.cast("double") - value) <= FIT * F.abs(value)
+    parts = [F.max(value.isNotNull() & ~F.coalesce(fits, F.lit(False))), F.try_sum(exact), F.sum(value)]
+    misfit, as_decimal, as_double = (p.over(over) if over else p for p in parts)
+    return F.when(misfit, as_double).otherwise(F.coalesce(as_decimal.cast("double"), as_double))
 
 
 def total(c: Column | str) -> Column:
-    """Order-independent sum as a double."""
-    return exact_total(c).cast("double")
+    """Sum as a double, null without values: exact and order-independent where all values fit."""
+    return _total(c)
 
 
 def mean(c: Column | str) -> Column:
-    """Order-independent mean over the non-null values as a double."""
-    return F.try_divide(F.sum(dec(c)).cast("double"), F.count(dec(c)))
+    """Mean over the non-null values as a double."""
+    return F.try_divide(_total(c), F.count(number(c)))
+
+
+def mean_over(c: Column | str, window: WindowSpec) -> Column:
+    """Mean over the non-null values of a window frame."""
+    return F.try_divide(_total(c, window), F.count(number(c)).over(window))
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:

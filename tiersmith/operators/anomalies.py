@@ -22,14 +22,17 @@ STATS = {
 
 
 def column_stats(counts: DataFrame, groups: list[str], iqr_multiplier: float, min_sample_size: int) -> DataFrame:
-    """Mean, spread, quartiles and fences; one row per measured column."""
+    """Mean, spread, quartiles and fences; one row per measured column.
+
+    Columns with too few values are kept and marked: nothing in them counts as an outlier.
+    """
     iqr = F.col("q3") - F.col("q1")
     farthest = F.greatest(F.col("max") - F.col("mean"), F.col("mean") - F.col("min"))
     return (
         distribution(counts, groups, {"q1": 0.25, "q3": 0.75})
-        .filter(F.col("total_count") >= min_sample_size)
         .withColumns(
             {
+                "enough": F.col("total_count") >= min_sample_size,
                 "iqr": iqr,
                 "lower_fence": F.col("q1") - iqr_multiplier * iqr,
                 "upper_fence": F.col("q3") + iqr_multiplier * iqr,
@@ -42,12 +45,12 @@ def column_stats(counts: DataFrame, groups: list[str], iqr_multiplier: float, mi
 def is_z_outlier(threshold: float) -> Column:
     """A column without spread has no outliers."""
     z = F.try_divide(F.abs(F.col("value") - F.col("mean")), F.col("std"))
-    return F.coalesce(z > threshold, F.lit(False))
+    return F.col("enough") & F.coalesce(z > threshold, F.lit(False))
 
 
 def is_iqr_outlier() -> Column:
     outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
-    return (F.col("iqr") != 0) & outside
+    return F.col("enough") & (F.col("iqr") != 0) & outside
 
 
 def _detect(
@@ -55,7 +58,7 @@ def _detect(
 ) -> DataFrame:
     counts = value_counts(long, groups)
     stats = column_stats(counts, groups, iqr_multiplier, min_sample_size)
-    carried = [*STATS["z_score"], *STATS["iqr"], "total_count"]
+    carried = [*STATS["z_score"], *STATS["iqr"], "total_count", "enough"]
     flagged = (
         counts.join(F.broadcast(stats.select(*groups, *carried)), groups)
         .groupBy(*groups)
@@ -77,9 +80,10 @@ def _detect(
 
     rows = F.array(result("z_score", "z_score", z_threshold), result("iqr", "iqr_outliers", iqr_multiplier))
     share = rounded(100 * F.col("_r.anomaly_count") / F.col("total_count"), 2)
-    return flagged.select(*groups, "total_count", F.explode(rows).alias("_r")).select(
-        *groups, "_r.method", "_r.anomaly_count", "total_count", share.alias("anomaly_pct"),
-        "_r.threshold", "_r.stats",
+    status = F.when(F.col("enough"), "checked").otherwise("too few values")
+    return flagged.select(*groups, "total_count", "enough", F.explode(rows).alias("_r")).select(
+        *groups, "_r.method", F.when(F.col("enough"), F.col("_r.anomaly_count")).alias("anomaly_count"), "total_count",
+        F.when(F.col("enough"), share).alias("anomaly_pct"), "_r.threshold", "_r.stats", status.alias("status"),
     )
 
 
@@ -87,7 +91,7 @@ def detect(
     df: DataFrame, cols: list[str] | None = None, z_threshold: float = Z_THRESHOLD,
     iqr_multiplier: float = IQR_MULTIPLIER, min_sample_size: int = MIN_SAMPLE_SIZE,
 ) -> DataFrame:
-    """Two result rows per column (z_score and iqr). Columns with too few values are left out."""
+    """Two result rows per column (z_score and iqr). Columns with too few values have no count, and a status."""
     return _detect(long_numbers(df, cols), ["column"], z_threshold, iqr_multiplier, min_sample_size)
 
 
@@ -112,7 +116,7 @@ def flagged_rows(
     long = long_numbers(df, cols, ids).filter(F.col("value").isNotNull())
     counts = value_counts(long, ["column"])
     stats = column_stats(counts, ["column"], iqr_multiplier, min_sample_size).select(
-        "column", "mean", "std", "iqr", "lower_fence", "upper_fence"
+        "column", "mean", "std", "iqr", "lower_fence", "upper_fence", "enough"
     )
     return (
         long.join(F.broadcast(stats), "column")

@@ -73,8 +73,7 @@ def body_composition(df: DataFrame) -> DataFrame:
 
 
 def weight_change(
-    df: DataFrame, athlete: str = "athlete_id", tie_break: list[str] | None = None,
-    hot_rows: int = ordered.HOT_ROWS,
+    df: DataFrame, athlete: str = "athlete_id", tie_break: list[str] | None = None
 ) -> DataFrame:
     """Change against the athlete's previous measurement. Null on the first one."""
     date = next((c for c in ("measured_at", "date") if c in df.columns), None)
@@ -82,9 +81,7 @@ def weight_change(
         return df
     keys = [athlete] if athlete in df.columns else []
     order = [date, *(tie_break or [c for c in ("id",) if c in df.columns])]
-    timed = ordered.with_time_bucket(df, keys, date, hot_rows=hot_rows).withColumn(
-        "_weight", number("weight_kg")
-    )
+    timed = ordered.with_range_bucket(df, keys, order).withColumn("_weight", number("weight_kg"))
     out = ordered.previous_value(timed, keys, "_bucket", order, "_weight", "_previous")
     change = rounded(F.col("_weight") - F.col("_previous"), 2)
     return out.withColumn("weight_change_kg", change).drop("_bucket", "_weight", "_previous")

@@ -14,7 +14,6 @@ RUN_SCHEMA = (
 )
 # Fixed values.
 SEVERITIES = ["CRITICAL", "WARNING", "INFO"]
-ALERTS_KEPT = 1000
 DIMENSIONS = ["completeness_score", "accuracy_score", "consistency_score", "timeliness_score"]
 
 
@@ -116,9 +115,9 @@ def recent_alerts(alerts: DataFrame, n: int = 20, severity: str | None = None) -
     return latest_rows(alerts, "created_at", n, ["id"])
 
 
-def retained_alerts(alerts: DataFrame, n: int = ALERTS_KEPT) -> DataFrame:
-    """The alert log after retention: the newest n alerts."""
-    return latest_rows(alerts, "created_at", n, ["id"])
+def retained_alerts(alerts: DataFrame, since: Column | None = None) -> DataFrame:
+    """The alert log after retention: all of it, or the alerts from a time on."""
+    return alerts if since is None else alerts.filter(F.col("created_at") >= since)
 
 
 def _alert(severity: Column, source: Column, message: Column, at: Column) -> list[Column]:

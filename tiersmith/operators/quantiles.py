@@ -16,12 +16,11 @@ def value_counts(values: DataFrame, groups: list[str], value: str = "value") ->
 
 
 def cut_points(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Per group the mean and the cut points, all of them and every SIDE-th."""
+    """Per group a first mean and the cut points, all of them and every SIDE-th."""
     v, n = F.col(value), F.col("n")
-    exact_sum = F.sum((v.try_cast("decimal(18,4)") * n).cast("decimal(38,4)")).cast("double")
     inner = [i / SIDE**2 for i in range(1, SIDE**2)]
     heads = counts.groupBy(*groups).agg(
-        F.percentile_approx(v, inner, 5000).alias("_cuts"), (exact_sum / F.sum(n)).alias("mean")
+        F.percentile_approx(v, inner, 5000).alias("_cuts"), (F.sum(v * n) / F.sum(n)).alias("_near")
     )
     every = F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.element_at("_cuts", i * SIDE))
     return heads.withColumn("_coarse_cuts", every)
@@ -62,8 +61,9 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
             F.max(v).alias("_high"),
             F.sum(F.when(v == 0, n).otherwise(0)).alias("_zeros"),
             F.sum(F.when(v < 0, n).otherwise(0)).alias("_negatives"),
-            F.sum(n * F.pow(v - F.col("mean"), 2)).alias("_squares"),
-            F.max("mean").alias("mean"),
+            F.sum(n * (v - F.col("_near"))).alias("_rest"),
+            F.sum(n * F.pow(v - F.col("_near"), 2)).alias("_squares"),
+            F.max("_near").alias("_near"),
         )
     )
 
@@ -86,12 +86,17 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
         }
     ).withColumn("_ranks", ranks)
     holds_rank = F.exists("_ranks", lambda r: holds(r, F.col("_start"), F.col("_rows")))
-    spread = F.sqrt(F.try_divide(F.sum("_squares"), F.max("total_count") - 1))
+    # Both figures are corrected by what the first mean was off, so they keep their precision however
+    # large the values are against their spread, and whatever the order of partial sums.
+    count = F.max("total_count")
+    off = F.sum("_rest") / count
+    squares = F.greatest(F.sum("_squares") - count * off * off, F.lit(0.0))
+    spread = F.sqrt(F.try_divide(squares, count - 1))
     # One row per group, with the few value ranges that hold a wanted rank.
     wanted = started.groupBy(*groups).agg(
         F.collect_list(F.when(holds_rank, F.struct("_bucket", "_start", "_low", "_high"))).alias("_ranges"),
         F.max("total_count").alias("total_count"),
-        F.max("mean").alias("mean"),
+        (F.max("_near") + off).alias("mean"),
         F.min("_low").alias("min"),
         F.max("_high").alias("max"),
         F.sum("_zeros").alias("zeros"),

@@ -12,9 +12,14 @@ KEYS = ["athlete_id", "exercise_id"]
 
 
 def candidate_sets(sets: DataFrame, workouts: DataFrame, exact_single: bool = False) -> DataFrame:
-    """Working sets with athlete, date and estimated one-rep maximum."""
+    """Working sets with athlete, date and estimated one-rep maximum.
+
+    A set without athlete, exercise or date cannot hold a record and is left out, so all later joins
+    are plain equalities and filters on the keys reach the scans.
+    """
     usable = (F.col("set_type") == "working") & F.col("weight_kg").isNotNull() & (F.col("reps") > 0)
-    owner = workouts.select(F.col("id").alias("workout_id"), "athlete_id", "workout_date")
+    usable &= F.col("exercise_id").isNotNull()
+    owner = workouts.select(F.col("id").alias("workout_id"), "athlete_id", "workout_date").dropna()
     return (
         sets.filter(usable)
         .withColumn("estimated_1rm", e1rm("weight_kg", "reps", exact_single))
@@ -46,6 +51,25 @@ def new_records(candidates: DataFrame, order: list[str], stored: DataFrame | Non
     )
 
 
+def logged_sets(sets: DataFrame, workouts: DataFrame, exercises: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sets to log with their estimate, and those that cannot be logged with an ``error``.
+
+    Every type of set is logged; one repetition counts with its own weight.
+    """
+    owner = workouts.select(F.col("id").alias("workout_id"), "athlete_id", "workout_date")
+    known = exercises.select(F.col("id").alias("exercise_id"), F.lit(True).alias("_known"))
+    found = (
+        sets.withColumn("estimated_1rm", e1rm("weight_kg", "reps", exact_single=True))
+        .join(owner, "workout_id", "left")
+        .join(known, "exercise_id", "left")
+    )
+    error = F.when(F.col("_known").isNull(), "exercise not found").when(
+        F.col("athlete_id").isNull() | F.col("workout_date").isNull(), "workout not found"
+    )
+    found = found.withColumn("error", error).drop("_known")
+    return found.filter("error IS NULL").drop("error"), found.filter("error IS NOT NULL")
+
+
 def flag_sets(candidates: DataFrame, order: list[str], stored: DataFrame | None = None) -> DataFrame:
     """Every new set with its estimate, the record it met and whether it beat it."""
     floor = stored.withColumnRenamed("value", "estimated_1rm") if stored is not None else None

@@ -77,7 +77,9 @@ def score(results: DataFrame, anomalies: DataFrame | None, profile: DataFrame, b
     joined = profile.select(*by, "null_pct", "row_count").join(rule_counts(results, by), by, "left")
     if anomalies is not None:
         found = anomalies.groupBy(*by).agg(
-            F.sum("anomaly_count").alias("anomalies_found"), F.sum("total_count").alias("values_checked")
+            F.sum("anomaly_count").alias("anomalies_found"),
+            # Values of columns with too few of them were not checked.
+            F.sum(F.when(F.col("anomaly_count").isNotNull(), F.col("total_count"))).alias("values_checked"),
         )
         joined = joined.join(found, by, "left")
     else:

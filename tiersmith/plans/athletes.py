@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiersmith.functions.numeric import exact_total, mean, number, ratio, rounded, total
+from tiersmith.functions.numeric import mean, number, ratio, rounded, total
 from tiersmith.plans.health import daily_calories, daily_nutrition_totals
 from tiersmith.plans.training import zero
 
@@ -39,7 +39,7 @@ def training_stats(
         rounded(100 * ratio(completed, F.count("*")), 1).alias("completion_rate"),
         rounded(total("duration_minutes") / 60, 1).alias("total_hours"),
         rounded(mean("duration_minutes"), 0).alias("avg_duration_min"),
-        rounded(exact_total("total_volume_kg"), 0).alias("total_volume_kg"),
+        rounded(total("total_volume_kg"), 0).alias("total_volume_kg"),
         rounded(mean("energy_level"), 1).alias("avg_energy"),
     )
     day, key = F.col("measured_at").cast("date"), F.struct(*order)
@@ -88,12 +88,12 @@ def athlete_cards(log: DataFrame, metrics: DataFrame, logs: DataFrame) -> DataFr
     )
     # Per day first, so that the distinct day count needs no second shuffle of the sets.
     per_day = log.groupBy("athlete_id", "workout_date").agg(
-        F.count("*").alias("_sets"), F.sum((zero("weight") * zero("reps")).cast("decimal(18,4)")).alias("_v")
+        F.count("*").alias("_sets"), total(zero("weight") * zero("reps")).alias("_v")
     )
     training = per_day.groupBy("athlete_id").agg(
         F.sum("_sets").alias("total_sets"),
         F.count("workout_date").alias("training_days"),
-        rounded(F.sum("_v"), 1).alias("total_volume"),
+        rounded(total("_v"), 1).alias("total_volume"),
     )
     food = daily_calories(logs, ["athlete_id"])
     cards = body.join(training, "athlete_id", "full_outer").join(food, "athlete_id", "full_outer")

@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiersmith.functions.numeric import exact_total, mean, number, ratio, rounded, total
-from tiersmith.operators.ordered import moving_mean, with_time_bucket
+from tiersmith.functions.numeric import mean, mean_over, number, ratio, rounded, total
+from tiersmith.operators.ordered import moving_mean, with_range_bucket
 
 
 def daily_nutrition_totals(logs: DataFrame) -> DataFrame:
     def share(grams: str, factor: int) -> Column:
         calories = F.nullif(total("calories"), F.lit(0.0))
-        return rounded(exact_total(grams) * factor / calories * 100, 1)
+        return rounded(total(grams) * factor / calories * 100, 1)
 
     return logs.groupBy("athlete_id", "log_date").agg(
         total("calories").alias("total_calories"),
-        rounded(exact_total("protein_g"), 1).alias("total_protein_g"),
-        rounded(exact_total("carbs_g"), 1).alias("total_carbs_g"),
-        rounded(exact_total("fats_g"), 1).alias("total_fats_g"),
-        rounded(exact_total("fiber_g"), 1).alias("total_fiber_g"),
+        rounded(total("protein_g"), 1).alias("total_protein_g"),
+        rounded(total("carbs_g"), 1).alias("total_carbs_g"),
+        rounded(total("fats_g"), 1).alias("total_fats_g"),
+        rounded(total("fiber_g"), 1).alias("total_fiber_g"),
         F.sum("water_ml").alias("total_water_ml"),
         F.count("*").alias("meals_logged"),
         share("protein_g", 4).alias("protein_pct"),
@@ -50,11 +50,10 @@ def calorie_trend(logs: DataFrame, days: int = 7) -> DataFrame:
 
     The window has no key, but it runs over one row per calendar day.
     """
-    daily = logs.groupBy("log_date").agg(F.sum(calories_or_zero().cast("decimal(18,4)")).alias("_c"))
+    daily = logs.groupBy("log_date").agg(total(calories_or_zero()).alias("_c"))
     last = Window.orderBy("log_date").rowsBetween(1 - days, 0)
-    average = F.sum("_c").over(last).cast("double") / F.count("*").over(last)
     return daily.select(
-        "log_date", rounded("_c", 2).alias("calories"), rounded(average, 2).alias("moving_avg")
+        "log_date", rounded("_c", 2).alias("calories"), rounded(mean_over("_c", last), 2).alias("moving_avg")
     )
 
 
@@ -76,7 +75,7 @@ def weight_trend(metrics: DataFrame, order: list[str], athletes: list | None = N
     if athletes is not None:
         metrics = metrics.filter(F.col("athlete_id").isin(athletes))
     series = metrics.select("athlete_id", *order, number("weight_kg").alias("weight_kg"))
-    timed = with_time_bucket(series, ["athlete_id"], order[0])
+    timed = with_range_bucket(series, ["athlete_id"], order)
     out = moving_mean(timed, ["athlete_id"], "_bucket", order, "weight_kg", "_mean", rows)
     return out.withColumn("moving_avg", rounded("_mean", 2)).drop("_bucket", "_mean")
 
@@ -118,20 +117,19 @@ def meal_summary(logs: DataFrame) -> DataFrame:
 def daily_calories(logs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Mean of the daily calorie sums, overall or per group."""
     by = by or []
-    daily = logs.groupBy(*by, "log_date").agg(F.sum(number("calories").cast("decimal(18,4)")).alias("_c"))
-    per_day = F.try_divide(F.sum("_c").cast("double"), F.count("_c"))
-    return daily.groupBy(*by).agg(rounded(per_day, 1).alias("avg_daily_calories"))
+    daily = logs.groupBy(*by, "log_date").agg(total("calories").alias("_c"))
+    return daily.groupBy(*by).agg(rounded(mean("_c"), 1).alias("avg_daily_calories"))
 
 
 def nutrition_kpis(logs: DataFrame, metrics: DataFrame, by: list[str]) -> DataFrame:
     """Daily calories and protein, and protein per kilogram of mean body weight."""
     # One row per group and day first: the distinct day count then needs no expansion.
     daily = logs.groupBy(*by, "log_date").agg(
-        F.sum(number("calories").cast("decimal(18,4)")).alias("_c"),
-        F.sum(number("protein_g").cast("decimal(18,4)")).alias("_p"),
+        total("calories").alias("_c"),
+        total("protein_g").alias("_p"),
     )
     intake = daily.groupBy(*by).agg(
-        ratio(F.sum("_c"), F.count("*")).alias("_calories"), ratio(F.sum("_p"), F.count("*")).alias("_protein")
+        ratio(total("_c"), F.count("*")).alias("_calories"), ratio(total("_p"), F.count("*")).alias("_protein")
     )
     weights = metrics.groupBy(*by).agg(mean("weight_kg").alias("_weight"))
     per_kg = F.when(F.col("_weight") > 0, F.col("_protein") / F.col("_weight")).otherwise(0.0)

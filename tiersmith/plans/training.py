@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import week_start
-from tiersmith.functions.numeric import e1rm, exact_total, mean, number, ratio, rounded, volume
+from tiersmith.functions.numeric import e1rm, mean, number, ratio, rounded, total, volume
 from tiersmith.operators.enrich import iso_week
 
 def _working(c: Column | str | None = None) -> Column:
@@ -36,7 +36,7 @@ def weekly_training_summary(workouts: DataFrame) -> DataFrame:
     return workouts.groupBy("athlete_id", week_start(F.col("workout_date")).alias("week_start")).agg(
         F.count("*").alias("workouts_completed"),
         rounded(mean("duration_minutes"), 0).alias("avg_duration_min"),
-        rounded(exact_total("total_volume_kg"), 0).alias("total_weekly_volume_kg"),
+        rounded(total("total_volume_kg"), 0).alias("total_weekly_volume_kg"),
         rounded(mean("total_volume_kg"), 0).alias("avg_volume_per_session"),
         rounded(mean("energy_level"), 1).alias("avg_energy"),
         rounded(mean("pump_rating"), 1).alias("avg_pump"),
@@ -57,7 +57,7 @@ def exercise_progression(sets: DataFrame, workouts: DataFrame, exercises: DataFr
             rounded(mean(_working("weight_kg")), 1).alias("avg_working_weight_kg"),
             rounded(mean(_working("reps")), 1).alias("avg_reps"),
             rounded(mean(_working("rpe")), 1).alias("avg_rpe"),
-            rounded(exact_total(_working(lifted)), 0).alias("exercise_volume_kg"),
+            rounded(total(_working(lifted)), 0).alias("exercise_volume_kg"),
         )
     )
 
@@ -70,7 +70,7 @@ def muscle_volume_distribution(sets: DataFrame, workouts: DataFrame, exercises:
         .groupBy("athlete_id", week_start(F.col("workout_date")).alias("week_start"), "primary_muscle")
         .agg(
             F.count_if(_working()).alias("working_sets"),
-            rounded(exact_total(_working(lifted)), 0).alias("total_volume_kg"),
+            rounded(total(_working(lifted)), 0).alias("total_volume_kg"),
             rounded(mean(_working("rpe")), 1).alias("avg_rpe"),
         )
     )
@@ -96,7 +96,7 @@ def weekly_volume(
         .agg(
             F.count_distinct("workout_id").alias("total_workouts"),
             F.count("*").alias("total_sets"),
-            rounded(exact_total(lifted), 2).alias("total_volume_kg"),
+            rounded(total(lifted), 2).alias("total_volume_kg"),
             F.sum(zero("reps")).cast("bigint").alias("total_reps"),
             rounded(mean("rpe"), 1).alias("avg_rpe"),
             F.sort_array(F.collect_set("primary_muscle")).alias("muscles_trained"),
@@ -133,7 +133,7 @@ def e1rm_history(sets: DataFrame, workouts: DataFrame, exercises: DataFrame, slu
 def update_session_totals(workouts: DataFrame, sets: DataFrame) -> DataFrame:
     """Workouts with volume and non-warm-up set count from their sets; others keep their values."""
     sums = sets.groupBy(F.col("workout_id").alias("id")).agg(
-        rounded(exact_total(zero("weight_kg") * zero("reps")), 2).alias("_volume"),
+        rounded(total(zero("weight_kg") * zero("reps")), 2).alias("_volume"),
         F.count_if(F.col("set_type") != "warmup").alias("_sets"),
     )
     volume_col = F.coalesce("_volume", "total_volume_kg") if "total_volume_kg" in workouts.columns else F.col("_volume")
@@ -147,17 +147,11 @@ def update_session_totals(workouts: DataFrame, sets: DataFrame) -> DataFrame:
 
 def workout_detail(
     workouts: DataFrame, sets: DataFrame, exercises: DataFrame, tags: DataFrame | None = None,
-    sets_per_part: int = 1000,
 ) -> DataFrame:
-    """Per workout a nested JSON document: session, exercises by first set, their sets, tags.
-
-    A document is cut by set number into parts of ``sets_per_part``, so that no task has to hold an
-    endless workout; ordinary workouts have the one part 0.
-    """
+    """Per workout one nested JSON document: session, exercises by first set, their sets, tags."""
     keep = {"ignoreNullFields": "false"}
-    part = F.floor(F.col("set_number") / sets_per_part).alias("part")
     one_set = F.struct("set_number", "set_type", "weight_kg", "reps", "rpe", "rest_seconds")
-    per_exercise = sets.groupBy("workout_id", part, "exercise_id").agg(
+    per_exercise = sets.groupBy("workout_id", "exercise_id").agg(
         F.min("set_number").alias("first_set"), F.sort_array(F.collect_list(one_set)).alias("sets")
     )
     named = per_exercise.join(
@@ -168,7 +162,7 @@ def workout_detail(
         "exercise_id",
     )
     block = F.struct("first_set", "exercise_id", "exercise_name", "muscle_group", "equipment", "sets")
-    per_workout = named.groupBy("workout_id", "part").agg(F.sort_array(F.collect_list(block)).alias("_blocks"))
+    per_workout = named.groupBy("workout_id").agg(F.sort_array(F.collect_list(block)).alias("_blocks"))
     blocks = F.transform(
         "_blocks",
         lambda b: F.struct(b["exercise_name"].alias("exercise_name"), b["muscle_group"].alias("muscle_group"),
@@ -185,7 +179,6 @@ def workout_detail(
         docs = docs.withColumn("tags", F.lit(None).cast("array<string>"))
     return docs.select(
         F.col("id").alias("workout_id"),
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.to_json(F.struct(*session), keep).alias("workout"),
         F.to_json(blocks, keep).alias("exercises"),
         F.to_json("tags").alias("tags"),
@@ -210,7 +203,7 @@ def e1rm_trend(log: DataFrame, exercise: str) -> DataFrame:
 def volume_by_week(log: DataFrame, legacy_week: bool = False) -> DataFrame:
     """Volume per ISO week; ``legacy_week`` merges the same week of different years."""
     weeks = iso_week(F.col("workout_date"), legacy_week)
-    return log.groupBy(*weeks).agg(rounded(exact_total(_lifted()), 1).alias("volume_kg"))
+    return log.groupBy(*weeks).agg(rounded(total(_lifted()), 1).alias("volume_kg"))
 
 
 def muscle_lookup(exercises: DataFrame) -> DataFrame:
@@ -220,11 +213,11 @@ def muscle_lookup(exercises: DataFrame) -> DataFrame:
 
 def volume_by_muscle(log: DataFrame, exercises: DataFrame, drop_other: bool = False) -> DataFrame:
     # Summing per exercise first leaves one row per exercise name to join.
-    per_exercise = log.groupBy("exercise").agg(F.sum(_lifted().cast("decimal(18,4)")).alias("_v"))
+    per_exercise = log.groupBy("exercise").agg(total(_lifted()).alias("_v"))
     out = (
         per_exercise.join(muscle_lookup(exercises), "exercise", "left")
         .groupBy(F.coalesce("muscle", F.lit("other")).alias("muscle"))
-        .agg(rounded(F.sum("_v"), 1).alias("volume_kg"))
+        .agg(rounded(total("_v"), 1).alias("volume_kg"))
     )
     return out.filter(F.col("muscle") != "other") if drop_other else out
 
@@ -241,7 +234,7 @@ def overview(log: DataFrame) -> DataFrame:
     Tasks reduce their rows to the distinct athletes, days and exercises they hold before anything
     is shuffled.
     """
-    volume_kg = F.sum(_lifted().cast("decimal(18,4)"))
+    volume_kg = total(_lifted())
     return log.agg(
         rounded(volume_kg, 1).alias("total_volume_kg"),
         F.count_distinct("athlete_id").alias("athletes"),
@@ -255,7 +248,7 @@ def overview(log: DataFrame) -> DataFrame:
 def top_performer(log: DataFrame, athletes: DataFrame) -> DataFrame:
     best = (
         log.groupBy("athlete_id")
-        .agg(rounded(exact_total(_lifted()), 1).alias("volume_kg"))
+        .agg(rounded(total(_lifted()), 1).alias("volume_kg"))
         .orderBy(F.desc("volume_kg"), "athlete_id")
         .limit(1)
     )
@@ -280,7 +273,7 @@ def exercise_breakdown(log: DataFrame) -> DataFrame:
         F.count("*").alias("total_sets"),
         rounded(mean(zero("weight")), 1).alias("avg_weight"),
         rounded(mean(zero("reps")), 1).alias("avg_reps"),
-        rounded(exact_total(_lifted()), 1).alias("total_volume"),
+        rounded(total(_lifted()), 1).alias("total_volume"),
     )
 
 
@@ -323,7 +316,7 @@ def compare_weekly_volume(log: DataFrame, first, second) -> DataFrame:
     two = log.filter(F.col("athlete_id").isin(first, second))
 
     def volume_of(athlete) -> Column:
-        return rounded(exact_total(F.when(F.col("athlete_id") == athlete, _lifted())), 1)
+        return rounded(total(F.when(F.col("athlete_id") == athlete, _lifted())), 1)
 
     return two.groupBy(*weeks).agg(
         volume_of(first).alias("volume_first"), volume_of(second).alias("volume_second")

@@ -17,10 +17,6 @@ RUNTIME_CONF = {
     # A hot join key is cut into several tasks, also where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Collecting aggregates sort their input once a task has seen 128 keys, long before memory is
-    # short. The bound stays small enough for an executor: lists here are per workout or per page.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "5000",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Only possible while a session is being built. The call-site capture of PySpark costs several
@@ -66,5 +62,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         app = spark.sparkContext.applicationId
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="tiersmith-"))
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="tiersmith-")
+        root = _local_scratch[app]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
