@@ -172,7 +172,7 @@ def test_search(spark):
     got = {r.id: (r.hits, r.words) for r in search.search(df, "press of BENCH", ["t"]).collect()}
     assert got == {1: (3, 3), 3: (2, 3)}
     index = search.inverted_index(df, "id", ["t"])
-    assert rows(search.search_index(index, "id", "press of BENCH")) == [(1, 3), (3, 2)]
+    assert rows(search.search_index(index, "id", "press of BENCH"), "id", "hits") == [(1, 3), (3, 2)]
     assert search.search(df, "the of", ["t"]).count() == 0
 
 
@@ -205,3 +205,13 @@ def test_figures_of_large_and_small_values(spark):
     assert large["std"] == pytest.approx(np.std([i % 7 for i in range(400)], ddof=1), rel=1e-3)
     mixed = spark.createDataFrame([(2e14,), (5.0,), (None,)], "v double")
     assert mixed.agg(numeric.total("v"), numeric.mean("v"), numeric.rounded(F.max("v") * 1e20, 2)).first() == (2e14 + 5, (2e14 + 5) / 2, 2e34)
+
+
+def test_search_stems_words_of_any_script(spark):
+    texts = [(1, "running runs quickly"), (2, "Übung macht den Meister"), (3, "bung hole"), (4, "Привет, мир"), (5, "hoped; flies")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    index = search.inverted_index(df, "id", ["t"])
+    for query, want in {"run": {1}, "quick runs": {1}, "Übung": {2}, "bung": {3}, "МИР": {4}, "hope fly": {5}, "hop": {5}}.items():
+        found = {r.id: (r.hits, r.words, r.score) for r in search.search(df, query, ["t"]).collect()}
+        assert set(found) == want
+        assert {r.id: (r.hits, r.words, r.score) for r in search.search_index(index, "id", query).collect()} == found

@@ -343,7 +343,7 @@ def _column_values(columns: dict[str, list[str]]) -> str:
 
 STATS_SQL = """SELECT table_name, "column", COUNT(*) AS n, favg(v) AS mean,
     stddev_samp(v) AS std, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3
-    FROM vals GROUP BY table_name, "column""""
+    FROM vals GROUP BY "column", table_name"""
 FOUND_SQL = f"""SELECT s.table_name, s."column", MAX(n) AS total_count, MAX(mean) AS mean, MAX(std) AS std,
     MAX(abs(v - mean) / NULLIF(std, 0)) AS max_z, MAX(q1) AS q1, MAX(q3) AS q3,
     COUNT(*) FILTER (WHERE abs(v - mean) / NULLIF(std, 0) > 3) AS z,

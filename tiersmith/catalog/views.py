@@ -12,7 +12,7 @@ from tiersmith.catalog.sqltext import avg, dsum, epley, in_list, rnd, tot, when,
 from tiersmith.catalog.warehouse import scd_inputs
 from tiersmith.functions.dates import minutes_between
 from tiersmith.functions.numeric import e1rm
-from tiersmith.functions.text import STOP_WORDS
+from tiersmith.functions.text import DOUBLED, KEPT_S, STEPS, STOP_WORDS
 from tiersmith.operators import contracts, integrity, policies, records, scd, search, staging
 from tiersmith.plans import athletes, health, roles, sql_surface, training
 from tiersmith.session import table
@@ -237,11 +237,26 @@ def e1rm_history_of_exercise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.e1rm_history(*parts(spark, sf_dir), slug="hot-bolt")
 
 
+def _stem_sql(words: str) -> str:
+    """The stemming rules of ``functions.text`` in SQL."""
+    for k, rules in enumerate(STEPS):
+        arms = ""
+        for ending, least, cut, put in rules:
+            kept = "".join(f" AND NOT ends_with(x, '{e}')" for e in KEPT_S) if ending == "s" else ""
+            arms += f" WHEN ends_with(x, '{ending}') AND length(x) >= {least}{kept} THEN left(x, length(x) - {cut}) || '{put}'"
+        words = f"list_transform({words}, lambda x: CASE{arms} ELSE x END)"
+        if k == 1:
+            doubled = " OR ".join(f"ends_with(x, '{e}')" for e in DOUBLED)
+            words = f"list_transform({words}, lambda x: CASE WHEN {doubled} THEN left(x, length(x) - 1) ELSE x END)"
+    return words
+
+
 def _search_sql(source: str, key: str, text: str, terms: list[str]) -> str:
     stop = in_list(STOP_WORDS)
     has = " AND ".join(f"list_contains(w, '{t}')" for t in terms)
-    return f"""WITH words AS (SELECT {key}, list_filter(string_split(regexp_replace(lower({text}), '[^a-z0-9]+', ' ', 'g'), ' '),
-        lambda x: x <> '' AND x NOT IN {stop}) AS w FROM {source}),
+    words = f"""list_filter(string_split(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
+        lambda x: x <> '' AND x NOT IN {stop})"""
+    return f"""WITH words AS (SELECT {key}, {_stem_sql(words)} AS w FROM {source}),
       hits AS (SELECT {key}, CAST(len(list_filter(w, lambda x: x IN {in_list(terms)})) AS INTEGER) AS hits,
         CAST(len(w) AS INTEGER) AS words FROM words WHERE {has})
       SELECT *, CAST(hits AS DOUBLE) / words AS score FROM hits"""
@@ -261,8 +276,7 @@ def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "G10_search_inverted_index",
-    "SELECT doc_id, CAST(hits AS BIGINT) AS hits FROM ("
-    + _search_sql("documents", "doc_id", "text", ["anat", "ing"]) + ")",
+    _search_sql("documents", "doc_id", "text", ["anat", "ing"]),
 )
 def search_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = search.inverted_index(table(spark, sf_dir, "documents"), "doc_id", ["text"])

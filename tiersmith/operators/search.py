@@ -25,7 +25,8 @@ def search(df: DataFrame, query: str, cols: list[str]) -> DataFrame:
     if not terms:
         return df.limit(0).selectExpr("*", "0 AS hits", "0 AS words", "0D AS score")
     lowered = F.lower(search_text(df, cols))
-    possible = reduce(lambda a, b: a & b, [lowered.contains(t) for t in terms])
+    # A stem stands at the beginning of its words, but for a y that was put in place of an ending.
+    possible = reduce(lambda a, b: a & b, [lowered.contains(t.removesuffix("y")) for t in terms])
     wanted = F.array(*[F.lit(t) for t in terms])
     words = F.col("_words")
     return (
@@ -44,21 +45,22 @@ def search(df: DataFrame, query: str, cols: list[str]) -> DataFrame:
 
 
 def inverted_index(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """(term, key, frequency) for a corpus that is searched often. Write it clustered by term."""
+    """(term, key, frequency, words of the text) for a corpus that is searched often, to be clustered by term."""
+    cut = df.select(key, tokens(search_text(df, cols)).alias("_words"))
     return (
-        df.select(key, F.explode(tokens(search_text(df, cols))).alias("term"))
+        cut.select(key, F.size("_words").alias("words"), F.explode("_words").alias("term"))
         .groupBy("term", key)
-        .agg(F.count("*").alias("frequency"))
+        .agg(F.count("*").alias("frequency"), F.max("words").alias("words"))
     )
 
 
 def search_index(index: DataFrame, key: str, query: str) -> DataFrame:
-    """Same matches from an inverted index: only the postings of the query terms are read."""
+    """Same matches and scores from an inverted index: only the postings of the query terms are read."""
     terms = query_terms(query)
     return (
         index.filter(F.col("term").isin(terms))
         .groupBy(key)
-        .agg(F.sum("frequency").alias("hits"), F.count("*").alias("_found"))
+        .agg(F.sum("frequency").cast("int").alias("hits"), F.max("words").alias("words"), F.count("*").alias("_found"))
         .filter(F.col("_found") == len(terms))
-        .select(key, "hits")
+        .select(key, "hits", "words", (F.col("hits") / F.col("words")).alias("score"))
     )
