@@ -1,10 +1,12 @@
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import rows
+from tiersmith.plans import landing
 from tiersmith.session import scratch_dir
 from tiersmith.sources import bronze, files, pages, store
 from tiersmith.streaming import arrivals, changes
@@ -122,5 +124,32 @@ def test_change_feed(spark, tmp_path):
         changes.upsert_batches(stream, ["k"], ["seq"], log, state, drain=True).awaitTermination()
     now = changes.current_rows(changes.read_log(spark, log), ["k"], ["seq"], "op")
     assert rows(now, "k", "v") == [("a", 20), ("c", 5)]
-    changes.compact(spark, log, base, ["k"], ["seq"], "op")
-    assert rows(store.read_current(spark, base), "k", "v") == [("a", 20), ("c", 5)]
+    # The base takes the place of the folded batches; later ones are read on top of it.
+    changes.compact(spark, log, base, ["k"], ["seq"])
+    assert not list(pathlib.Path(log).glob("batch=*"))
+    (drop / "f2.csv").write_text("k,seq,v,op\nb,1,7,UPSERT\nd,1,8,UPSERT\nc,2,6,UPSERT\n")
+    stream = arrivals.arrivals(spark, str(drop), schema).drop("_source_file")
+    changes.upsert_batches(stream, ["k"], ["seq"], log, state, drain=True).awaitTermination()
+    after = changes.current_rows(changes.read_log(spark, log, base), ["k"], ["seq"], "op")
+    assert rows(after, "k", "v") == [("a", 20), ("c", 6), ("d", 8)]
+    changes.compact(spark, log, base, ["k"], ["seq"])
+    assert rows(changes.current_rows(changes.read_log(spark, log, base), ["k"], ["seq"], "op"), "k", "v") == [("a", 20), ("c", 6), ("d", 8)]
+
+
+def test_a_drop_zone_is_read_per_format_and_bad_records_are_set_aside(spark, tmp_path):
+    body = tmp_path / "zone" / "body_metrics"
+    meals = tmp_path / "zone" / "nutrition_logs"
+    body.mkdir(parents=True)
+    meals.mkdir()
+    (body / "a.csv").write_text("date,weight_kg\n2024-01-01,80.5\n2024-01-02,81\n")
+    (body / "b.csv").write_text("date,weight_kg\n2024-01-03,82,extra,more\n")
+    (body / "notes.txt").write_text("nothing to read")
+    (meals / "c.json").write_text('{"records": [{"log_date": "2024-01-01", "calories": 500}, {"log_date": "2024-01-02", "calories": 600}]}')
+    (meals / "d.json").write_text('{"records": [{"log_date": ')
+    frames, aside = landing.read_zone(spark, str(tmp_path / "zone"))
+    assert rows(frames["body_metrics"], "weight_kg", "_source_file") == [(80.5, "a.csv"), (81.0, "a.csv")]
+    assert rows(frames["nutrition_logs"], "calories", "_source_file") == [(500, "c.json"), (600, "c.json")]
+    assert rows(aside, "dataset", "_source_file", "reason") == [
+        ("body_metrics", "b.csv", "unreadable record"), ("body_metrics", "notes.txt", "unsupported format"),
+        ("nutrition_logs", "d.json", "unreadable record"),
+    ]

@@ -327,4 +327,6 @@ def change_feed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feed.select("user_id", "event_id", "value", op.alias("op"))
     log, state = scratch_dir(spark, "changes"), scratch_dir(spark, "changes-state")
     changes.upsert_batches(rows, ["user_id"], ["event_id"], log, state, drain=True).awaitTermination()
-    return changes.current_rows(changes.read_log(spark, log), ["user_id"], ["event_id"], "op")
+    base = scratch_dir(spark, "changes-base")
+    changes.compact(spark, log, base, ["user_id"], ["event_id"])
+    return changes.current_rows(changes.read_log(spark, log, base), ["user_id"], ["event_id"], "op")

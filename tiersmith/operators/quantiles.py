@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cut points are searched in two steps of SIDE comparisons, which gives SIDE * SIDE buckets.
-SIDE = 16
+from tiersmith.session import scratch_dir
+
 FIGURES = ["total_count", "mean", "min", "max", "zeros", "negatives", "std"]
 
 
@@ -15,56 +15,38 @@ def value_counts(values: DataFrame, groups: list[str], value: str = "value") ->
     return values.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
 
 
-def cut_points(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Per group a first mean and the cut points, all of them and every SIDE-th."""
-    v, n = F.col(value), F.col("n")
-    inner = [i / SIDE**2 for i in range(1, SIDE**2)]
-    heads = counts.groupBy(*groups).agg(
-        F.percentile_approx(v, inner, 5000).alias("_cuts"), (F.sum(v * n) / F.sum(n)).alias("_near")
-    )
-    every = F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.element_at("_cuts", i * SIDE))
-    return heads.withColumn("_coarse_cuts", every)
-
-
-def with_bucket(df: DataFrame, value: str) -> DataFrame:
-    """Add ``_bucket``: the number of cut points below the value."""
+def in_ranges(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """The counts range-partitioned by group and value, with the number of the range as ``_bucket``.
 
-    def below(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda c: c < F.col(value)))
-
-    fine = F.slice("_cuts", F.col("_coarse") * SIDE + 1, F.lit(SIDE - 1))
-    return df.withColumn("_coarse", below(F.col("_coarse_cuts"))).withColumn("_bucket", F.col("_coarse") * SIDE + below(fine))
+    The number of ranges follows the data. They are written once: ranges come from a sample, and
+    several readers need the same ones.
+    """
+    placed = counts.repartitionByRange(*groups, value).withColumn("_bucket", F.spark_partition_id())
+    path = scratch_dir(counts.sparkSession, "values")
+    placed.write.parquet(path)
+    return counts.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float], value: str = "value") -> DataFrame:
     """One row per group: count, min, max, mean, std, zeros, negatives and the quantiles.
 
-    ``counts`` holds (groups, value, n). Quantiles are exact and linearly interpolated. Approximate
-    cut points spread the distinct values of a group over buckets; counting the rows per bucket
-    tells which buckets hold the wanted ranks, and only those are sorted. The cut points merely
-    balance the work: ranks are counted exactly, so the answer does not depend on them. The spread
-    is taken around the mean, which keeps large values with a small spread exact.
+    ``counts`` holds (groups, value, n). Quantiles are exact and linearly interpolated. The values
+    lie in ranges; counting the rows per range tells which ranges hold the wanted ranks, and only
+    those are numbered row by row. The spread is taken around the mean, which keeps large values
+    with a small spread exact.
 
-    Groups must be few (measured columns, whose number the schema bounds): the figures per group are
-    broadcast, so that the values are never shuffled by group, which would put a whole column into
-    one task.
+    Groups must be few (measured columns, whose number the schema bounds). The facts that are
+    broadcast are one row per group and range.
     """
     v, n = F.col(value), F.col("n")
-    heads = F.broadcast(cut_points(counts, groups, value))
-    # At most SIDE * SIDE rows per group. Plain numbers only, so that it stays a hash aggregate.
-    per_bucket = (
-        with_bucket(counts.join(heads, groups), value)
-        .groupBy(*groups, "_bucket")
-        .agg(
-            F.sum(n).alias("_rows"),
-            F.min(v).alias("_low"),
-            F.max(v).alias("_high"),
-            F.sum(F.when(v == 0, n).otherwise(0)).alias("_zeros"),
-            F.sum(F.when(v < 0, n).otherwise(0)).alias("_negatives"),
-            F.sum(n * (v - F.col("_near"))).alias("_rest"),
-            F.sum(n * F.pow(v - F.col("_near"), 2)).alias("_squares"),
-            F.max("_near").alias("_near"),
-        )
+    stored = in_ranges(counts, groups, value)
+    per_range = stored.groupBy(*groups, "_bucket").agg(
+        F.sum(n).alias("_rows"),
+        F.sum(v * n).alias("_sum"),
+        F.min(v).alias("_low"),
+        F.max(v).alias("_high"),
+        F.sum(F.when(v == 0, n).otherwise(0)).alias("_zeros"),
+        F.sum(F.when(v < 0, n).otherwise(0)).alias("_negatives"),
     )
 
     def position(p: float) -> Column:
@@ -73,44 +55,37 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
     def holds(rank: Column, begin: Column, rows: Column) -> Column:
         return (rank >= begin) & (rank < begin + rows)
 
-    ranks = F.array_distinct(F.flatten(F.array(
-        *[F.array(F.floor(position(p)), F.ceil(position(p))) for p in probs.values()]
-    )))
     in_order = Window.partitionBy(*groups).orderBy("_bucket")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    started = per_bucket.withColumns(
+    whole = Window.partitionBy(*groups)
+    ranks = F.array(*[f(position(p)) for p in probs.values() for f in (F.floor, F.ceil)])
+    facts = per_range.withColumns(
         {
             "_start": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
             "total_count": F.sum("_rows").over(whole),
+            "_near": F.sum("_sum").over(whole) / F.sum("_rows").over(whole),
+            "min": F.min("_low").over(whole),
+            "max": F.max("_high").over(whole),
+            "zeros": F.sum("_zeros").over(whole),
+            "negatives": F.sum("_negatives").over(whole),
         }
-    ).withColumn("_ranks", ranks)
-    holds_rank = F.exists("_ranks", lambda r: holds(r, F.col("_start"), F.col("_rows")))
+    ).withColumn("_wanted", F.exists(ranks, lambda r: holds(r, F.col("_start"), F.col("_rows"))))
+    facts = facts.drop("_rows", "_sum", "_low", "_high", "_zeros", "_negatives")
+    known = stored.join(F.broadcast(facts), [*groups, "_bucket"])
+
     # Both figures are corrected by what the first mean was off, so they keep their precision however
     # large the values are against their spread, and whatever the order of partial sums.
     count = F.max("total_count")
-    off = F.sum("_rest") / count
-    squares = F.greatest(F.sum("_squares") - count * off * off, F.lit(0.0))
-    spread = F.sqrt(F.try_divide(squares, count - 1))
-    # One row per group, with the few value ranges that hold a wanted rank.
-    wanted = started.groupBy(*groups).agg(
-        F.collect_list(F.when(holds_rank, F.struct("_bucket", "_start", "_low", "_high"))).alias("_ranges"),
-        F.max("total_count").alias("total_count"),
+    off = F.sum(n * (v - F.col("_near"))) / count
+    squares = F.greatest(F.sum(n * F.pow(v - F.col("_near"), 2)) - count * off * off, F.lit(0.0))
+    figures = known.groupBy(*groups).agg(
+        *[F.max(c).alias(c) for c in ("total_count", "min", "max", "zeros", "negatives")],
         (F.max("_near") + off).alias("mean"),
-        F.min("_low").alias("min"),
-        F.max("_high").alias("max"),
-        F.sum("_zeros").alias("zeros"),
-        F.sum("_negatives").alias("negatives"),
-        spread.alias("std"),
+        F.sqrt(F.try_divide(squares, count - 1)).alias("std"),
     )
-    in_range = F.filter("_ranges", lambda r: (v >= r["_low"]) & (v <= r["_high"]))
+
     running = Window.partitionBy(*groups, "_bucket").orderBy(value)
-    at = (
-        counts.join(F.broadcast(wanted), groups)
-        .select(*groups, value, "n", *FIGURES, F.explode(in_range).alias("_range"))
-        .withColumn("_bucket", F.col("_range._bucket"))
-        .withColumn("_begin", F.col("_range._start") + F.sum("n").over(running) - n)
-    )
+    at = known.filter("_wanted").withColumn("_begin", F.col("_start") + F.sum("n").over(running) - n)
 
     def at_rank(rank: Column) -> Column:
         return F.max(F.when(holds(rank, F.col("_begin"), n), v))
@@ -121,7 +96,7 @@ def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float],
             at_rank(F.floor(position(p))).alias(f"_lo_{name}"),
             at_rank(F.ceil(position(p))).alias(f"_hi_{name}"),
         ]
-    found = at.groupBy(*groups).agg(*[F.max(f).alias(f) for f in FIGURES], *bounds)
+    found = figures.join(at.groupBy(*groups).agg(*bounds), groups)
 
     def interpolate(name: str, p: float) -> Column:
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")

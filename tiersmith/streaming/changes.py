@@ -1,9 +1,9 @@
 """Change feed into a table that holds the latest row per key.
 
 Plain Parquet has no MERGE. Each micro-batch appends its own latest row per key to a change log in a
-folder of its own (so a replayed batch replaces itself), and readers take the latest row per key.
-A batch therefore costs what the batch holds, not what the table holds; ``compact`` folds the log
-into a new base from time to time.
+folder of its own (so a replayed batch replaces itself). A batch therefore costs what the batch
+holds, not what the table holds. ``compact`` folds the log into a new version of a base and removes
+the folded batches; readers take the latest row per key of the base and the batches since.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tiersmith.operators.cleaning import deduplicate
-from tiersmith.sources.store import write_current
+from tiersmith.sources.store import read_current, write_current
 
 DELETE = "DELETE"
 
@@ -38,10 +38,35 @@ def current_rows(changes: DataFrame, keys: list[str], order: list[str], op: str
     return latest.filter(F.col(op) != DELETE).drop(op) if op else latest
 
 
-def read_log(spark: SparkSession, log: str) -> DataFrame:
-    return spark.read.parquet(log).drop("batch")
+def _batches(spark: SparkSession, log: str) -> list:
+    """The finished batch folders of a log."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(log)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    folders = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("batch=")]
+    return [f for f in folders if fs.exists(hadoop.Path(f, "_SUCCESS"))]
 
 
-def compact(spark: SparkSession, log: str, base: str, keys: list[str], order: list[str], op: str | None = None) -> str:
-    """Write the current rows as a new version of the base table."""
-    return write_current(current_rows(read_log(spark, log), keys, order, op), base)
+def read_log(spark: SparkSession, log: str, base: str | None = None) -> DataFrame:
+    """All changes a reader needs: the base, if there is one, and the batches since."""
+    parts = [str(f) for f in _batches(spark, log)]
+    kept = read_current(spark, base) if base else None
+    since = spark.read.parquet(*parts) if parts else None
+    if kept is None or since is None:
+        return kept if since is None else since
+    return kept.unionByName(since, allowMissingColumns=True)
+
+
+def compact(spark: SparkSession, log: str, base: str, keys: list[str], order: list[str]) -> str:
+    """Fold the log into a new version of the base.
+
+    Deletes stay in the base as rows, so an older change that arrives late cannot revive a key. If
+    removing the folded batches fails, they are merely folded again.
+    """
+    folded = _batches(spark, log)
+    path = write_current(deduplicate(read_log(spark, log, base), keys, "last", order), base)
+    for folder in folded:
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return path
