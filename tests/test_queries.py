@@ -81,3 +81,33 @@ def test_sql_functions(spark):
     assert len(rows) == some.n and all(r.estimated_1rm >= r.best_weight_kg for r in rows)
     hit = spark.sql("SELECT athlete_id, workout_id, count(*) AS n FROM new_records GROUP BY ALL ORDER BY n DESC, 1, 2").first()
     assert spark.sql(f"SELECT * FROM detect_new_prs({hit.athlete_id}, {hit.workout_id})").count() == hit.n
+
+
+def test_records_of_one_athlete_read_only_their_rows(spark):
+    from tiersmith.operators import records
+    from tiersmith.plans import roles
+
+    candidates = records.candidate_sets(roles.workout_sets(spark, SF_DIR), roles.workouts(spark, SF_DIR))
+    found = records.new_records(candidates, ["workout_date", "workout_id", "set_number", "weight_kg", "reps"])
+    plan = plan_of(found.filter("athlete_id = 1"))
+    scans = [line for line in plan.splitlines() if "o_custkey" in line and "PushedFilters" in line]
+    assert scans and all("EqualTo(o_custkey,1)" in line for line in scans)
+
+
+def test_a_contract_on_a_sample_finds_some_of_the_violations(spark):
+    from tiersmith.operators import contracts
+    from tiersmith.plans import roles
+
+    metrics = roles.body_metrics(spark, "/root/testdata/sf0.01")
+    every = {tuple(r) for r in contracts.violations(metrics, "body_metrics", ["id"]).collect()}
+    sample = [tuple(r) for r in contracts.violations(metrics, "body_metrics", ["id"], sample_size=100).collect()]
+    whole = [tuple(r) for r in contracts.violations(metrics, "body_metrics", ["id"], sample_size=10**6).collect()]
+    assert set(sample) <= every and len({r[0] for r in sample}) <= 100
+    assert set(whole) == every
+
+
+def test_discovery_lists_what_is_there(spark):
+    import pathlib
+
+    found = {(r.file_name, r.length) for r in entry.queries()["A4_file_discovery"](spark, SF_DIR).collect()}
+    assert found == {(p.name, p.stat().st_size) for p in pathlib.Path(SF_DIR).iterdir()}

@@ -21,6 +21,7 @@ class Policy:
     parent_key: str = "id"
 
 
+# Owner, parent and foreign key of each table.
 POLICIES: dict[str, Policy | None] = {
     "athletes": Policy(owner="id"),
     "workout_programs": Policy(owner="athlete_id"),

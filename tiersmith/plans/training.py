@@ -111,11 +111,14 @@ def e1rm_history(sets: DataFrame, workouts: DataFrame, exercises: DataFrame, slu
     The maximum is an aggregate that is joined back, so a hot workout is combined map-side and its
     rows can be split over several tasks.
     """
+    working = sets.filter(_working())
+    # A choice of exercise or athlete cuts the sets down before anything is aggregated.
     if slug is not None:
         exercises = exercises.filter(F.col("slug") == slug)
+        working = working.join(exercises.select(F.col("id").alias("exercise_id")), "exercise_id", "left_semi")
     if athlete_id is not None:
         workouts = workouts.filter(F.col("athlete_id") == athlete_id)
-    working = sets.filter(_working())
+        working = working.join(workouts.select(F.col("id").alias("workout_id")), "workout_id", "left_semi")
     heaviest = working.groupBy("workout_id", "exercise_id").agg(F.max("weight_kg").alias("weight_kg"))
     return set_table(
         working.join(heaviest, ["workout_id", "exercise_id", "weight_kg"]), workouts, exercises
