@@ -15,7 +15,7 @@ from tiersmith.functions.numeric import e1rm
 from tiersmith.functions.text import DOUBLED, KEPT_S, STEPS, STOP_WORDS
 from tiersmith.operators import contracts, integrity, policies, records, scd, search, staging
 from tiersmith.plans import athletes, health, roles, sql_surface, training
-from tiersmith.session import table
+from tiersmith.session import table, written
 
 AS_OF = "2024-02-01 00:00:00"
 WORKING = "set_type = 'working'"
@@ -154,7 +154,7 @@ def workout_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def personal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records by date: every day an athlete reached a new best on an exercise."""
     sets, workouts, _ = parts(spark, sf_dir)
-    return records.new_records(records.candidate_sets(sets, workouts), ORDER)
+    return records.new_records(written(records.candidate_sets(sets, workouts), "candidates"), ORDER)
 
 
 ORDER = ["workout_date", "workout_id", "set_number", "weight_kg", "reps"]
@@ -295,7 +295,7 @@ FLOORED = f"""SELECT c.*, greatest(max(e) OVER (PARTITION BY athlete_id, exercis
 def _stored_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Records from the sets before a date, and the sets after it as the new batch."""
     sets, workouts, _ = parts(spark, sf_dir)
-    candidates = records.candidate_sets(sets, workouts)
+    candidates = written(records.candidate_sets(sets, workouts), "candidates")
     old = F.col("workout_date") < F.lit(STORED_UNTIL).cast("date")
     stored = candidates.filter(old).groupBy(*records.KEYS).agg(F.max("estimated_1rm").alias("value"))
     return stored, candidates.filter(~old)

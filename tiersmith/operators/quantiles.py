@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiersmith.session import scratch_dir
+from tiersmith.session import written
 
 FIGURES = ["total_count", "mean", "min", "max", "zeros", "negatives", "std"]
 
@@ -22,9 +22,7 @@ def in_ranges(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
     several readers need the same ones.
     """
     placed = counts.repartitionByRange(*groups, value).withColumn("_bucket", F.spark_partition_id())
-    path = scratch_dir(counts.sparkSession, "values")
-    placed.write.parquet(path)
-    return counts.sparkSession.read.schema(placed.schema).parquet(path)
+    return written(placed, "values")
 
 
 def distribution(counts: DataFrame, groups: list[str], probs: dict[str, float], value: str = "value") -> DataFrame:

@@ -66,3 +66,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             _local_scratch[app] = tempfile.mkdtemp(prefix="tiersmith-")
         root = _local_scratch[app]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: several readers, and retried tasks, see the same rows."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
