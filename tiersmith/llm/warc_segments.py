@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiersmith.llm.scratch import stored
 from tiersmith.session import scratch_dir
 
 SEGMENT_BYTES = 16 << 10
@@ -121,6 +122,10 @@ PARSED_ARROW = pa.schema([
 ])
 
 
+DECODED = f"{PARSED}, payload binary, payload_bytes long, payload_sum string"
+DECODED_ARROW = pa.schema([*PARSED_ARROW, ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sum", pa.string())])
+
+
 def parse(data: bytes) -> Iterator[dict]:
     """The records of one archive."""
     at = 0
@@ -145,8 +150,13 @@ def parse(data: bytes) -> Iterator[dict]:
             at += 2
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records and segments of the archives in a folder."""
+def read_records(spark: SparkSession, path: str, decode: bool = False, payloads: bool = True) -> DataFrame:
+    """All records and segments of the archives in a folder.
+
+    With ``decode``, a record in one piece comes with its payload's length and digest instead of its
+    block, and with the payload itself if ``payloads``; segments keep their block.
+    """
+    schema = DECODED_ARROW if decode else PARSED_ARROW
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,15 +166,25 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     data = gunzipped(data)
                 held, size = [], 0
                 for record in parse(data):
+                    if decode and record["segment"] is None:
+                        record |= payload_facts(record.pop("block"), payloads)
                     held.append(record)
-                    size += len(record["block"])
-                    if size > 4 << 20:
-                        yield pa.RecordBatch.from_pylist(held, schema=PARSED_ARROW)
+                    size += 200 + len(record.get("block") or b"") + len(record.get("payload") or b"")
+                    if size > 1 << 20:
+                        yield pa.RecordBatch.from_pylist(held, schema=schema)
                         held, size = [], 0
                 if held:
-                    yield pa.RecordBatch.from_pylist(held, schema=PARSED_ARROW)
+                    yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+    archives = spark.read.format("binaryFile").load(path).select("content")
+    return archives.mapInArrow(run, DECODED if decode else PARSED)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, PARSED)
+
+def payload_facts(block: bytes, payloads: bool) -> dict:
+    payload = http_payload(block)
+    return {
+        "payload": payload if payloads else None, "payload_bytes": len(payload), "payload_sum": hashlib.sha256(payload).hexdigest(),
+    }
 
 
 def gunzipped(data: bytes) -> bytes:
@@ -177,9 +197,8 @@ def gunzipped(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def reassembled(rows: DataFrame) -> DataFrame:
-    """One row per record with its whole ``block`` and whether it is ``complete``."""
-    cut = rows.where("segment IS NOT NULL")
+def put_together(cut: DataFrame) -> DataFrame:
+    """One row per segmented record with its whole ``block`` and whether it is ``complete``."""
     head = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
     # A record written twice has each segment twice: one of each is enough.
     parts = F.array_sort(F.collect_set(F.struct("segment", "block")))
@@ -188,11 +207,16 @@ def reassembled(rows: DataFrame) -> DataFrame:
     )
     joined = F.expr("cast(array_join(transform(parts, p -> cast(p.block AS string)), '') AS binary)")
     counted = F.expr("transform(parts, p -> p.segment) = sequence(1, greatest(size(parts), 1))")
-    columns = ["record_id", "record_type", "page_id", "digest", "refers_to", "block"]
-    whole = whole.withColumn("block", joined).select(
-        F.col("origin").alias("record_id"), *columns[1:], (counted & (F.coalesce("total", F.lit(-1)) == F.octet_length("block"))).alias("complete")
+    fits = counted & (F.coalesce("total", F.lit(-1)) == F.octet_length("block"))
+    return whole.withColumn("block", joined).select(
+        F.col("origin").alias("record_id"), "record_type", "page_id", "digest", "refers_to", "block", fits.alias("complete")
     )
-    return rows.where("segment IS NULL").select(*columns, F.lit(True).alias("complete")).unionByName(whole)
+
+
+def reassembled(rows: DataFrame) -> DataFrame:
+    """One row per record with its whole ``block`` and whether it is ``complete``."""
+    whole = put_together(rows.where("segment IS NOT NULL"))
+    return rows.where("segment IS NULL").withColumn("complete", F.lit(True)).select(*whole.columns).unionByName(whole)
 
 
 def dechunked(body: bytes) -> bytes:
@@ -213,24 +237,36 @@ def http_payload(block: bytes) -> bytes:
     return dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every record: ``record_id, record_type, page_id, refers_to, digest, complete`` and its own ``payload``."""
-    names = ["record_id", "record_type", "page_id", "refers_to", "digest", "complete"]
+FOUND = ["record_id", "record_type", "page_id", "refers_to", "digest", "complete", "payload", "payload_bytes", "payload_sum"]
+
+
+def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Every record: ids, type, whether it is ``complete``, and its own payload, length and digest.
+
+    Records in one piece are decoded where they are parsed; segments are put together first. Without
+    ``payloads`` what is parsed is small and written once, so the archives are read once.
+    """
+    rows = read_records(spark, path, decode=True, payloads=payloads)
+    if not payloads:
+        rows = stored(rows, "warc-records")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = FOUND[:6]
+        none = {"payload": None, "payload_bytes": None, "payload_sum": None}
         for batch in batches:
-            payloads, sums = [], []
-            for block, complete in zip(batch.column("block"), batch.column("complete").to_pylist()):
-                payload = http_payload(block.as_py()) if complete else None
-                payloads.append(payload)
-                sums.append(None if payload is None else hashlib.sha256(payload).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(payloads, pa.binary()), pa.array(sums, pa.string())],
-                names=[*names, "payload", "payload_sum"],
-            )
-
-    shape = "record_id string, record_type string, page_id long, refers_to string, digest string, complete boolean, payload binary, payload_sum string"
-    return reassembled(read_records(spark, path)).mapInArrow(run, shape)
+            facts = [
+                payload_facts(block.as_py(), payloads) if complete else none
+                for block, complete in zip(batch.column("block"), batch.column("complete").to_pylist())
+            ]
+            columns = [pa.array([f[c] for f in facts], DECODED_ARROW.field(c).type) for c in FOUND[6:]]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *columns], names=FOUND)
+
+    shape = (
+        "record_id string, record_type string, page_id long, refers_to string, digest string, complete boolean,"
+        " payload binary, payload_bytes long, payload_sum string"
+    )
+    whole = rows.where("segment IS NULL").withColumn("complete", F.lit(True)).select(*FOUND)
+    return whole.unionByName(put_together(rows.where("segment IS NOT NULL")).mapInArrow(run, shape))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
@@ -238,9 +274,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_dir(spark, "warc")
     write(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), path)
-    back = read(spark, path)
+    found = read(spark, path, payloads=False).withColumnRenamed("payload_bytes", "bytes")
     # A revisit's payload is that of the response it refers to.
-    found = back.select("record_id", "record_type", "page_id", "refers_to", "complete", F.length("payload").cast("long").alias("bytes"), "payload_sum")
     own = found.where("record_type <> 'revisit'")
     sent = own.select(F.col("record_id").alias("r"), F.col("page_id").alias("of"), F.col("bytes").alias("b"), F.col("payload_sum").alias("s")).dropDuplicates(["r"])
     again = found.where("record_type = 'revisit'").join(sent, F.col("refers_to") == F.col("r"), "left")
