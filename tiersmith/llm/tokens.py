@@ -11,10 +11,11 @@ A worker keeps the ids of pieces it has met; when the cache is full it starts ag
 
 from __future__ import annotations
 
+import operator
 import os
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 
@@ -36,6 +37,11 @@ class WordTokenizer:
         plain = [("Word", "word"), ("word..", "word .."), ("ab1!?*", "ab1 !?*"), ("x###", "x ###"), ("y$%&|", "y $%&|"), ("Q,;:", "q ,;:")]
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.foldable = all(ids(a) == ids(b) for a, b in plain)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(self.vocabulary, bool)
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -49,12 +55,38 @@ class WordTokenizer:
             text = CLOSING.sub(rb" \1", text.lower())
         return text.split()
 
-    def _learn(self, new: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
+    def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone, many in one text; a word-end token closes each of them."""
+        flats, sizes = [], []
+        parts = [pieces[at : at + 1000] for at in range(0, len(pieces), 1000)]
+        found = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, encoding in zip(parts, found):
+            flat = np.array(encoding.ids, np.uint32)
+            size = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+            if len(size) != len(part):  # lower case may split a letter in two
+                flat, size = self._one_by_one(part)
+            flats.append(flat)
+            sizes.append(size)
+        return (np.concatenate(flats), np.concatenate(sizes)) if flats else (np.empty(0, np.uint32), np.empty(0, np.int64))
+
+    def _learn(self, new: list[bytes]) -> None:
+        texts = [p.decode() for p in new]
+        if self.ends is None:
+            flat, size = self._one_by_one(texts)
+        else:
+            letters = [t.isalpha() for t in texts]
+            new = [*compress(new, letters), *compress(new, map(operator.not_, letters))]
+            flat, size = self._together(list(compress(texts, letters)))
+            rest = self._one_by_one(list(compress(texts, map(operator.not_, letters))))
+            flat, size = np.concatenate([flat, rest[0]]), np.concatenate([size, rest[1]])
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))])
+        self.flat = np.concatenate([self.flat, flat])
         first = len(self.known)
         self.known.update(zip(new, range(first, first + len(new))))
 
