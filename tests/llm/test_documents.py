@@ -160,6 +160,7 @@ def test_line_stage_keeps_rows_and_columns(spark):
     out = line_bloom.stage(docs)
     assert out.columns == docs.columns
     assert {r.doc_id: r.text for r in out.collect()} == {**dict.fromkeys(range(5), ""), 5: line, 6: None, 7: "x"}
+    assert {r.doc_id: r.n_chars for r in out.collect()} == {**dict.fromkeys(range(5), 0), 5: len(line), 6: 0, 7: 1}
     assert line_bloom.stage(docs.limit(0)).count() == 0
 
 

@@ -183,8 +183,16 @@ def dedupe(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
 
 
 def stage(docs: DataFrame, **options: int) -> DataFrame:
-    """Every document with its repeated lines gone; the columns of ``docs``."""
-    return dedupe(docs, **options).select(*docs.columns)
+    """Every document with its repeated lines gone; the columns of ``docs``.
+
+    Where lines went, a numeric column ``n_chars`` is set to the code points that stay.
+    """
+    out = dedupe(docs, **options)
+    kinds = dict(docs.dtypes)
+    if kinds.get("n_chars") in ("int", "bigint"):
+        counted = F.when(F.col("__n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", counted.cast(kinds["n_chars"]))
+    return out.select(*docs.columns)
 
 
 def digests(docs: DataFrame, **options: int) -> DataFrame:
