@@ -305,7 +305,7 @@ def test_held_out_pages():
     weights = html_model.trained()
     pages = html_model.labelled_pages(150, seed=5)
     right = sum(set(re.findall(r"\w+", html_model.main_text(t, weights).lower())) == c for t, c in pages)
-    assert right >= 0.9 * len(pages)
+    assert right >= 0.97 * len(pages)
 
 
 def test_text_of_the_given_pages(spark):

@@ -64,8 +64,10 @@ WORDS = {
 }
 WORD_OF = {word: name for name, words in WORDS.items() if name[0] == "w" for word in words.split()}
 ROLE_OF = {word: name for name, words in WORDS.items() if name[0] == "r" for word in words.split()}
-NAMES = ["bias", *TAG_GROUPS, *WORDS, "hidden", "in_article", "in_main", "in_content", "log_text", "links", "sentence", "deep_text", "share"]
+NAMES = ["bias", *TAG_GROUPS, *WORDS, "hidden", "in_article", "in_main", "in_content", "in_other", "log_text", "links", "sentence", "deep_text", "share"]
 PLACE = {name: i for i, name in enumerate(NAMES)}
+# Marks of parts around the content, also inside it: what stands below one of them is told so.
+OTHER = [PLACE[n] for n in ("nav", "header", "footer", "aside", "form", "w_menu", "w_side", "w_advert", "w_notice", "w_comment", "r_frame", "hidden")]
 
 
 @dataclass
@@ -237,6 +239,7 @@ def features(page: Page) -> np.ndarray:
             up = x[node.parent]
             for name, own in (("in_article", "article"), ("in_main", "main"), ("in_content", "w_content")):
                 x[k, PLACE[name]] = max(up[PLACE[name]], up[PLACE[own]])
+            x[k, PLACE["in_other"]] = up[PLACE["in_other"]] or float(up[OTHER].any())
         x[k, PLACE[GROUP_OF[node.tag]]] = 1
         for flag in node.flags:
             x[k, PLACE[flag]] = 1
