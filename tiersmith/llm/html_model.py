@@ -300,7 +300,7 @@ def marginals(parents: list[int], score: np.ndarray, edge: np.ndarray) -> tuple[
     return out1, np.array([[c00, c01], [c10, c11]])
 
 
-LABELLED = 160
+LABELLED = 320
 ROUNDS = 150
 
 
