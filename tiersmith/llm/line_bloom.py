@@ -110,7 +110,7 @@ def seen_twice(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER_B
     # A merging task streams its chunks and holds CHUNKS of them at most: two bitmaps in all.
     merged = parts.repartition(CHUNKS, "chunk").mapInArrow(merge, shape).select("chunk", "twice")
     whole = np.zeros(bits // 8, np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():  # CHUNKS rows, one bitmap in all
         whole[row.chunk * width : (row.chunk + 1) * width] = np.frombuffer(row.twice, np.uint8)
     return whole.tobytes()
 
