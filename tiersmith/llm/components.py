@@ -14,8 +14,13 @@ from tiersmith.llm.scratch import stored
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
-    """``(a, b)`` with a's smallest neighbour, itself included, as ``low``."""
+    """``(a, b)`` with a's smallest neighbour, itself included, as ``low``.
+
+    The aggregate is written first: were it planned into the join, both would share one exchange, and
+    Spark could not split a hub's rows.
+    """
     low = pairs.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("low"))
+    low = stored(low, "stars")
     return pairs.join(low, pairs["a"] == low["k"]).select("a", "b", "low")
 
 
