@@ -88,7 +88,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, buf, off in tb.texts(batch):
+            for a, b, buf, off in tb.texts(batch, limit=tb.SLICE_BYTES // 2):
                 owner, keys = shingle_sets(buf, off)
                 sig = minhashes(owner, keys, b - a)
                 filled = np.bincount(owner, minlength=b - a) > 0

@@ -130,7 +130,7 @@ def assess(docs: DataFrame, rules: RepetitionRules | None = None, text: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, buf, off in tb.texts(batch, text):
+            for a, b, buf, off in tb.texts(batch, text, tb.SLICE_BYTES // 2):
                 m = measure(buf, off)
                 m |= judge(m, rules)
                 part = batch.slice(a, b - a)

@@ -54,7 +54,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def texts(batch: pa.RecordBatch, name: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, buf, off)`` slices of a string column; null counts as empty."""
     column = pc.fill_null(batch.column(name).cast(pa.large_string()), "")
     n = len(column)
@@ -65,7 +65,7 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, int,
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)
     at = 0
     while at < n:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, side="right")) - 1)
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, side="right")) - 1)
         yield at, to, whole[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
         at = to
 
