@@ -26,7 +26,7 @@ from math import lgamma
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,7 +155,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[t
         new[0] = True
         for name in by:
             column = now.column(name)
-            differs = pa.compute.not_equal(column.slice(1), column.slice(0, len(now) - 1))
+            differs = pc.not_equal(column.slice(1), column.slice(0, len(now) - 1))
             new[1:] |= differs.to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(new)
         last = int(starts[-1])

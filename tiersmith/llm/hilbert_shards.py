@@ -5,8 +5,8 @@ the first sort key. Shards are runs of the sorted rows whose counts differ by on
 ``rows``), so a shard covers a compact region of all three dimensions.
 
 The order comes from one range-partitioned sort of narrow rows; a row's rank is its place in its
-range plus the rows of the ranges before it. The text's checksum and ``doc_id`` follow the curve index as sort keys: equal texts
-stand together, and a hot source or copied text still spreads over ranges.
+range plus the rows of the ranges before it. The text's checksum and ``doc_id`` follow the curve index
+as sort keys: equal texts stand together, and a hot source or copied text still spreads over ranges.
 
 Defined cases: null language or source has a cell of its own, a null text has size 1 and checksum 0;
 rows that repeat a document get a slot each; an empty table gives no rows.
