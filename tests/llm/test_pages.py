@@ -214,6 +214,12 @@ def test_social_security_numbers_stay_valid_and_apart(spark):
         assert 1 <= a <= 899 and a != 666 and 1 <= g <= 99 and 1 <= s <= 9999
 
 
+def test_a_phone_number_takes_no_digits_of_a_card(spark):
+    for card in ("4111111111111111", "4111 1111 1111 1111"):
+        row = one(spark, f"+1 (988) 555-2485 {card} +1 988 555 2485 {card}")
+        assert row.pii_kinds == ["phone", "card", "phone", "card"] and card not in row.text
+
+
 def test_long_texts_are_searched_whole(spark):
     text = "a" * 300_000 + " 1.1.1.1 " + "1 " * 50_000 + "x@" * 5000 + " 10.20.30.40"
     row = one(spark, text)

@@ -27,7 +27,11 @@ PATTERNS = {
     "dotted_date": r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}(?![0-9]|\.[0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ -]?(?:\([0-9]{2,4}\)|[0-9]{2,4})|\([0-9]{3}\))(?:[ -]?[0-9]{2,4}){2,4}(?![0-9])",
+    # A North American number has its exact shape, so that it does not take digits of what follows it.
+    "phone": (
+        r"(?<![0-9+])(?:(?:\+1[ -]?)?\([0-9]{3}\)[ -]?[0-9]{3}[ -]?[0-9]{4}|\+1[ -]?[0-9]{3}[ -]?[0-9]{3}[ -]?[0-9]{4}"
+        r"|\+[0-9]{1,3}[ -]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ -]?[0-9]{2,4}){2,4})(?![0-9])"
+    ),
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 ANY = "|".join(PATTERNS.values())
