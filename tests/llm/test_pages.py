@@ -6,6 +6,7 @@ import hashlib
 import html
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -347,3 +348,21 @@ def test_awkward_pages(spark):
             assert by[i].text == want
     assert by[len(rows)].text == "Deep text is here. It is long."
     assert html_model.extract(pages.limit(0)).count() == 0
+
+
+def test_tags_end_behind_their_quoted_values():
+    weights = html_model.trained()
+    paragraph = "<p>It was late, and they don't come back. We said so.</p>"
+    text = "It was late, and they don't come back. We said so."
+    for tag in ('<img alt="Ann\'s dog">', "<img alt='a \"b'>", '<a title="Women\'s health" href=x></a>', '<img alt = "a>b\'c" / >', "<br don't>", "<img alt=it's>"):
+        assert html_model.main_text(f"<article>{tag}{paragraph}</article>", weights) == text
+    # A value of over 10,000 characters, and one whose quote never closes.
+    props = '{"a": "x > y"}' * 2000
+    assert html_model.main_text(f"<article><div data-props='{props}' class=\"post\">{paragraph}</div></article>", weights) == text
+    assert text in html_model.main_text(f'<article><img alt="x>{paragraph}</article>', weights)
+    assert html_model.flags_of("div", " title=\"Ann's\" class='menu'") == ("w_menu",)
+    # Tags that all end in the next one's quotes are walked once.
+    began = time.monotonic()
+    html_model.parsed('<a b=">" ' * 100_000)
+    html_model.parsed('<a b=">" ' * 100_000 + '"')
+    assert time.monotonic() - began < 20

@@ -89,6 +89,8 @@ class Page:
 
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))|\b(hidden)\b""")
+# From one attribute to the next: its name, and its value up to the quote that opens it (group 1) or to its end.
+STEP = re.compile(r"""[ \t\n\r\f/]*[^ \t\n\r\f/>]?[^ \t\n\r\f/>=]*(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:(["'])|[^ \t\n\r\f>]*))?""")
 TOKEN = re.compile(r"[a-z]+")
 
 
@@ -108,22 +110,29 @@ def flags_of(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def tag_end(text: str, at: int) -> int:
-    """Where the tag that begins at ``at`` ends, quotes considered; -1 if it does not."""
-    end = text.find(">", at)
-    while end >= 0:
-        inside = text[at:end]
-        if inside.count('"') % 2 == 0 and inside.count("'") % 2 == 0 or "=" not in inside:
-            return end
-        # A quoted ">": go on behind the quote, or take the first end if it never closes.
-        quote = re.search(r"""=\s*(["'])""", inside)
-        if not quote:
-            return end
-        later = text.find(">", end + 1, at + 10_000)
-        if later < 0:
-            return text.find(">", at)
-        end = later
-    return -1
+def tag_end(text: str, at: int, dead: set[int]) -> int:
+    """Where the tag whose attributes begin at ``at`` ends: at the first ">" outside a quoted value; -1 if there is no ">".
+
+    A tag that does not end so, as a quote stays open or the page is over, ends at its first ">". ``dead``
+    keeps the places from which a walk found no end, so that no part of a page is walked again and again.
+    """
+    first = text.find(">", at)
+    if first < 0 or text.find('"', at, first) < 0 and text.find("'", at, first) < 0:
+        return first
+    walked, n = [], len(text)
+    while at < n and at not in dead:
+        walked.append(at)
+        step = STEP.match(text, at)
+        at = step.end()
+        if step[1]:
+            close = text.find(step[1], at)
+            if close < 0:
+                break
+            at = close + 1
+        elif text.startswith(">", at):
+            return at
+    dead.update(walked)
+    return first
 
 
 def parsed(text: str) -> Page:
@@ -133,6 +142,7 @@ def parsed(text: str) -> Page:
     inner: list[str] = []
     links = 0
     silent: list[str] = []
+    dead: set[int] = set()
     at, n = 0, len(text)
 
     def flush() -> None:
@@ -167,7 +177,7 @@ def parsed(text: str) -> Page:
             at = n if end < 0 else end + 1
             continue
         match = TAG.match(text, lt)
-        end = tag_end(text, lt) if match else -1
+        end = tag_end(text, match.end(), dead) if match else -1
         if end < 0:
             say("<")
             at = lt + 1
