@@ -366,3 +366,23 @@ def test_tags_end_behind_their_quoted_values():
     html_model.parsed('<a b=">" ' * 100_000)
     html_model.parsed('<a b=">" ' * 100_000 + '"')
     assert time.monotonic() - began < 20
+
+
+def test_silent_elements_without_a_close_end_with_their_parent():
+    def blocks(body):
+        return [t for _, t in html_model.parsed(body).blocks]
+
+    for tag in ("button", "select", "svg", "noscript", "template", "iframe", "object"):
+        # Closed by the paragraph, the next item, the article or the head; a block inside it closes none of them.
+        assert blocks(f"<article><p>One. <{tag}>Share</p><p>Two.</p></article>") == ["One.", "Two."]
+        assert blocks(f"<article><p>One.</p><{tag}><p>a</p><div>b</div>c</article><p>Two.</p>") == ["One.", "Two."]
+        assert blocks(f"<head><{tag}>x</head><p>Two.") == blocks(f"<head><{tag}>x<body><p>Two.") == ["Two."]
+        assert blocks(f"<div><p>One.</p><{tag}><div><p>x<p>y</div>z</{tag}> Two.</div>") == ["One.", "Two."]
+        if tag != "template":
+            assert blocks(f"<ul><li>One. <{tag}>Share<li>Two.</ul>") == ["One.", "Two."]
+    assert blocks("<ul><li>One.<template><li>x</li></template> Two.</ul>") == ["One. Two."]
+    text = "Words stand here. The sum is a + b here. That is all of it."
+    formula = "<p>Words stand here. The sum is <math><mi>a</mi> <mo>+</mo> <mi>b</mi></math> here. That is all of it.</p>"
+    for tag in ("button", "select"):
+        got = html_model.main_text(f"<article>{formula}<p>Some more of it. <{tag}>Share</p>{formula}</article>", html_model.trained())
+        assert got == f"{text}\nSome more of it.\n{text}"

@@ -8,7 +8,9 @@ fitted by gradient ascent on the likelihood (expected counts from the same messa
 set of labelled pages, which ``labelled_pages`` builds from a rule.
 
 The work is per page, nothing is shuffled. Defined cases: a null or empty html has the empty text;
-markup without a close is closed by its parent; text outside any element belongs to the page's root;
+markup without a close is closed by its parent, also where its text is never page text (button, select,
+svg and the like; only script, style, textarea and title hold all up to their close); text outside any
+element belongs to the page's root;
 rows that repeat a page get equal results; pages of any length are read whole.
 """
 
@@ -32,7 +34,7 @@ BLOCKS = frozenset(
     " blockquote pre figure figcaption dl dt dd address fieldset details summary dialog menu center hgroup search".split()
 )
 # Their text is never page text.
-SILENT = frozenset("script style noscript template title textarea select svg iframe object canvas audio video math button".split())
+SILENT = frozenset("script style noscript template title textarea select svg iframe object canvas audio video button".split())
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # An element that closes an open one of the second list, up to an element of the third.
@@ -141,6 +143,7 @@ def parsed(text: str) -> Page:
     stack = [0]
     inner: list[str] = []
     links = 0
+    # An element whose text is not page text, and the silent and block elements open inside it.
     silent: list[str] = []
     dead: set[int] = set()
     at, n = 0, len(text)
@@ -161,6 +164,17 @@ def parsed(text: str) -> Page:
             if links:
                 page.nodes[stack[-1]].link_chars += len(" ".join(part.split()))
 
+    def ended_by(tag: str, closing: bool) -> int:
+        """Place in the stack and then in ``silent`` of the element that a block's tag ends, 0 if there is none."""
+        ends, stops = ({tag}, ()) if closing else CLOSES.get(tag, ((), ()))
+        for k in range(len(stack) + len(silent) - 1, 0, -1):
+            own = page.nodes[stack[k]].tag if k < len(stack) else silent[k - len(stack)]
+            if own in ends:
+                return k
+            if own in stops or own == "template" and not closing:
+                return 0
+        return 0
+
     while at < n:
         lt = text.find("<", at)
         if lt < 0:
@@ -196,7 +210,18 @@ def parsed(text: str) -> Page:
                 else:
                     silent.append(tag)
             continue
+        if silent and tag in BLOCKS:
+            k = ended_by(tag, closing)
+            if k >= len(stack):
+                del silent[k - len(stack) :]
+            elif k:
+                # The block around it ends, and what was left open with it.
+                silent.clear()
+        if silent and tag == ("head" if closing else "body") and all(page.nodes[k].tag != "body" for k in stack):
+            silent.clear()
         if silent:
+            if tag in BLOCKS and not closing:
+                silent.append(tag)
             continue
         if tag == "a":
             links = max(0, links - 1) if closing else 1
@@ -207,25 +232,16 @@ def parsed(text: str) -> Page:
         elif tag in BLOCKS:
             flush()
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if page.nodes[stack[k]].tag == tag:
-                        del stack[k:]
-                        break
+                if k := ended_by(tag, closing):
+                    del stack[k:]
                 continue
             links = 0
             if tag == "html":
                 continue
             if page.nodes[stack[-1]].tag == "p":
                 stack.pop()
-            if tag in CLOSES:
-                ends, stops = CLOSES[tag]
-                for k in range(len(stack) - 1, 0, -1):
-                    own = page.nodes[stack[k]].tag
-                    if own in ends:
-                        del stack[k:]
-                        break
-                    if own in stops:
-                        break
+            if tag in CLOSES and (k := ended_by(tag, closing)):
+                del stack[k:]
             if tag == "body" and any(page.nodes[k].tag == "body" for k in stack):
                 continue
             page.nodes.append(Node(tag, stack[-1], flags_of(tag, text[match.end() : end])))
