@@ -221,6 +221,37 @@ def test_a_phone_number_takes_no_digits_of_a_card(spark):
         assert row.pii_kinds == ["phone", "card", "phone", "card"] and card not in row.text
 
 
+def test_digits_beside_a_card_do_not_hide_it(spark):
+    alone = {c: one(spark, c).text for c in ("4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "4222222222222")}
+    cases = {
+        "{} 12/27": ["card"], "{} 123": ["card"], "12 {}": ["card"], "7-{}-8": ["card"], "1234 {} 1234": ["card"], "12 34 56 {} 12 34 56 78": ["card"],
+        "+49 30 12345678 {}": ["phone", "card"], "+7 30 12 34 56 {}": ["phone", "card"], "1987-02-28 {} 123-45-6789": ["iso_date", "card", "ssn"],
+        "{0} {0}": ["card", "card"], "{} x 10.20.30.40": ["card", "ip"],
+    }
+    texts = [(t.format(c), t, c) for t in cases for c in alone]
+    docs = spark.createDataFrame(list(enumerate(x for x, _, _ in texts)), "doc_id long, text string")
+    for row in feistel_pii.pseudonymised(docs, "k").collect():
+        text, form, card = texts[row.doc_id]
+        assert (row.pii_kinds, card in row.text, alone[card] in row.text) == (cases[form], False, True), (text, row)
+        assert re.sub(r"\d", "9", row.text).startswith(re.sub(r"\d", "9", text).split("x")[0])
+
+
+def test_rejected_matches_are_searched_inside(spark):
+    # Cards in unusual groups, a country code before a card, a phone number with digits behind it.
+    odd, plain = "41 11 11 11 11 11 11 11", "4111111111111111"
+    new = one(spark, odd).text
+    for text in (f"12 {odd}", f"{odd} 123", f"5 {odd} 6"):
+        row = one(spark, text)
+        assert (row.pii_kinds, row.text) == (["card"], text.replace(odd, new))
+    assert one(spark, f"+49 {plain}").text == "+49 " + one(spark, plain).text
+    row = one(spark, "+49 30 12345678 9988 77")
+    assert row.pii_kinds == ["phone"] and row.text.startswith("+49 ") and "12345678" not in row.text
+    for text, kinds in ((f"{plain}@x.org", ["email"]), (f"a@{plain}.org", ["email"]), ("+49 4222222222222", ["phone"])):
+        assert one(spark, text).pii_kinds == kinds
+    stays = "1234 5678 9012 3456 7"
+    assert (one(spark, stays).text, one(spark, "1987-02-30 300.1.1.1").text) == (stays, "1987-02-30 300.1.1.1")
+
+
 def test_long_texts_are_searched_whole(spark):
     text = "a" * 300_000 + " 1.1.1.1 " + "1 " * 50_000 + "x@" * 5000 + " 10.20.30.40"
     row = one(spark, text)

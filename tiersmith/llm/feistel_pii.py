@@ -7,7 +7,12 @@ different ones never meet. Mail addresses have no such index: their name becomes
 
 Formats: payment card numbers (13 to 19 digits, Luhn; blanks and hyphens stay), social security
 numbers, phone numbers (country code stays), IPv4 addresses, dates ``yyyy-mm-dd`` and ``dd.mm.yyyy``
-from 1900 to 2099. What a pattern finds but validation rejects stays as it is.
+from 1900 to 2099.
+
+Card numbers in one of their usual shapes are looked for at every group of digits and validated before
+anything else is matched, so digits beside a card neither hide it nor become part of it. What another
+pattern finds but validation rejects is searched inside, from the first group of digits on and longest
+first, for a card or phone number; the rest of it stays as it is.
 
 Everything is SQL expressions on the row, without shuffle. Defined cases: a null text stays null, an
 empty one empty; repeated rows get equal results; texts of any length are read whole.
@@ -35,6 +40,13 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 ANY = "|".join(PATTERNS.values())
+# Cards as they are mostly written: 4-4-4-4, 4-6-5, unbroken. Not right behind a country code, where an
+# unbroken number is a phone's, and not in a mail address.
+CARD_SHAPES = r"[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19}"
+BEFORE_CARD = r"(?<![0-9])(?<!\+[0-9]{0,3}[ -]?)(?<!@[A-Za-z0-9.-]{0,63})"
+BEHIND_CARD = r"(?![0-9]|[A-Za-z0-9._%+-]{0,63}@)"
+# Zero-width, so that also shapes that overlap are found: the first group holds what may be a card.
+CARD_STARTS = rf"{BEFORE_CARD}(?=((?:{CARD_SHAPES}){BEHIND_CARD}))"
 
 
 def quoted(text: str) -> str:
@@ -140,23 +152,55 @@ def pseudonym_cases(m: str, key: str) -> dict[str, tuple[str, str]]:
     }
 
 
-def kind_sql(m: str) -> str:
-    tests = " ".join(f"WHEN {m} RLIKE {quoted('^(?:' + p + ')$')} AND {ok} THEN {quoted(k)}" for (k, p), (ok, _) in zip(PATTERNS.items(), pseudonym_cases(m, "").values()))
+def kind_sql(m: str, kinds: tuple[str, ...] = tuple(PATTERNS)) -> str:
+    valid = {k: ok for k, (ok, _) in pseudonym_cases(m, "").items()}
+    tests = " ".join(f"WHEN {m} RLIKE {quoted('^(?:' + PATTERNS[k] + ')$')} AND {valid[k]} THEN {quoted(k)}" for k in kinds)
     return f"CASE {tests} END"
 
 
+def inner_sql(m: str) -> str:
+    """``m`` as pieces, the first valid phone or card number inside it with its kind: whole groups of digits of ``m``, longest first."""
+    start = f"substring({m}, a, 1) RLIKE '[0-9+(]' AND NOT substring(concat(' ', {m}), a, 1) RLIKE '[0-9+(]'"
+    end = f"substring({m}, b, 1) RLIKE '[0-9]' AND NOT substring({m}, b + 1, 1) RLIKE '[0-9]'"
+    places = f"sequence(1, length({m}))"
+    ends = f"reverse(filter({places}, b -> {end}))"
+    spans = f"flatten(transform(filter({places}, a -> {start}), a -> transform(filter({ends}, b -> b - a >= 6), b -> named_struct('a', a, 'm', substring({m}, a, b - a + 1)))))"
+    judged = f"transform({spans}, c -> named_struct('a', c.a, 'm', c.m, 'kind', {kind_sql('c.m', ('phone', 'card'))}))"
+    pieces = (
+        f"filter(array(named_struct('m', substring({m}, 1, c.a - 1), 'kind', cast(null AS string)), named_struct('m', c.m, 'kind', c.kind),"
+        f" named_struct('m', substring({m}, c.a + length(c.m)), 'kind', cast(null AS string))), p -> p.m <> '')"
+    )
+    return f"flatten(transform(slice(filter({judged}, c -> c.kind IS NOT NULL), 1, 1), c -> {pieces}))"
+
+
+def found_sql(t: str) -> str:
+    """What the patterns find in ``t``: for each match its pieces with their kinds, null where a piece stays."""
+    whole = f"transform(regexp_extract_all({t}, {quoted(ANY)}, 0), m -> named_struct('m', m, 'kind', {kind_sql('m')}))"
+    # Under 13 digits there is no room for a card, nor for more than a phone number.
+    inside = f"transform(array(CASE WHEN w.kind IS NULL AND length({digits('w.m')}) >= 13 THEN {inner_sql('w.m')} END), i -> if(size(i) > 0, i, array(w)))[0]"
+    return f"transform({whole}, w -> {inside})"
+
+
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` rewritten, and ``pii_kinds``: the kind of each value replaced, in order."""
     cases = pseudonym_cases("f.m", key)
-    kind = F.expr(f"transform(regexp_extract_all(`{text}`, {quoted(ANY)}, 0), m -> named_struct('m', m, 'kind', {kind_sql('m')}))")
     new = "CASE f.kind " + " ".join(f"WHEN {quoted(k)} THEN {p}" for k, (_, p) in cases.items()) + " ELSE f.m END"
+    # The cards of a text, as they are written, and a pattern for just these.
+    cards = f"array_distinct(filter(regexp_extract_all(`{text}`, {quoted(CARD_STARTS)}, 1), m -> {pseudonym_cases('m', '')['card'][0]}))"
+    exact = f"concat({quoted(BEFORE_CARD + '(?:')}, array_join(__cards, '|'), {quoted(')' + BEHIND_CARD)})"
+    # The text between the cards is searched for everything; pieces in turn: text that stays, matches, and the card behind it.
+    between = f"if(size(__cards) > 0, split(`{text}`, {exact}, -1), array(`{text}`))"
+    taken = f"transform(if(size(__cards) > 0, regexp_extract_all(`{text}`, {exact}, 0), array()), m -> array(named_struct('m', m, 'kind', 'card')))"
+    kept = f"transform(split(t, {quoted(ANY)}, -1), s -> array(named_struct('m', s, 'kind', cast(null AS string))))"
+    # ``kept`` has one element more than what is found, and ``between`` one more than ``taken``: the missing one is null.
+    row = f"flatten(flatten(zip_with({kept}, {found_sql('t')}, (s, w) -> array(s, coalesce(w, array())))))"
+    pieces = f"flatten(flatten(zip_with(transform({between}, t -> {row}), {taken}, (r, c) -> array(r, coalesce(c, array())))))"
     # Most texts have neither a digit nor an at sign: one cheap look spares them the search.
-    found = docs.withColumn("__found", F.when(F.col(text).rlike("[0-9@]"), kind))
-    rewritten = (
-        f"array_join(zip_with(split(`{text}`, {quoted(ANY)}, -1), concat(transform(__found, f -> {new}), array('')), (t, v) -> concat(t, v)), '')"
-    )
+    found = docs.withColumn("__cards", F.when(F.col(text).rlike("[0-9]{4}"), F.expr(cards)).otherwise(F.expr("array()").cast("array<string>")))
+    found = found.withColumn("__found", F.when(F.col(text).rlike("[0-9@]"), F.expr(pieces)))
+    rewritten = f"array_join(transform(__found, f -> {new}), '')"
     return (
-        found.withColumn(text, F.when(F.expr("size(__found) > 0"), F.expr(rewritten)).otherwise(F.col(text)))
+        found.withColumn(text, F.when(F.expr("size(__found) > 1"), F.expr(rewritten)).otherwise(F.col(text)))
         .withColumn("pii_kinds", F.expr("coalesce(transform(filter(__found, f -> f.kind IS NOT NULL), f -> f.kind), array())").cast("array<string>"))
-        .drop("__found")
+        .drop("__found", "__cards")
     )
