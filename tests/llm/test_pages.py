@@ -289,6 +289,26 @@ def test_archives_round_trip(spark):
     assert warc_segments.round_trip(pages.limit(0)).count() == 0
 
 
+def test_repeated_long_pages_stay_apart(spark, tmp_path):
+    # Repeated rows, one of them what others refer to; rows without an id, with equal html; the same page under two urls.
+    long = {k: f"{k} is long. " * 4000 for k in "abcd"}
+    rows = [(1, "u", long["a"]), (1, "u", long["a"]), (2, "u", long["b"]), (2, "u", long["b"]), (3, "w", long["b"]), (3, "w", long["b"])]
+    rows += [(None, "u", long["c"]), (None, "w", long["c"]), (None, "u", long["c"]), (4, "u", long["d"]), (4, "w", long["d"])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = sorted((tuple(r) for r in warc_segments.round_trip(pages).collect()), key=repr)
+    assert got == archive_by_hand(rows)
+    path = str(tmp_path / "warc")
+    warc_segments.write(pages, path)
+    read = warc_segments.read(spark, path).collect()
+    assert len(read) == len(rows) and all(r.complete for r in read)
+    payloads = collections.Counter((r.page_id, bytes(r.payload).decode()) for r in read if r.record_type == "response")
+    assert payloads == collections.Counter((p, h) for p, _, h in rows if p != 3)
+    # Only what revisits refer to is named by page and payload.
+    ids = collections.Counter(r.record_id for r in read if r.page_id is None or r.page_id == 3)
+    assert set(ids.values()) == {1}
+    assert {r.refers_to for r in read if r.page_id == 3} == {r.record_id for r in read if r.page_id == 2}
+
+
 def test_segments_are_numbered_and_payloads_come_back(spark, tmp_path):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     path = str(tmp_path / "warc")

@@ -11,8 +11,10 @@ shuffled. Spark reads and writes the files, so any file system it knows will do;
 whole by one task, so ``FILE_RECORDS`` bounds it.
 
 Defined cases: a null payload is empty, a null url has no target header, a null page id no page
-header (and such a page never is what others refer to); rows that repeat page and payload are the
-same record written twice. A record with missing segments or a wrong length has ``complete`` false.
+header (and such a page never is what others refer to). Every row is a record of its own, also where
+page and payload repeat; only rows that repeat a page that revisits refer to share the record id that
+these name, and ``Row-ID``, a number that all segments of a row carry, keeps them apart. A record with
+missing segments or a wrong length has ``complete`` false.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """``page_id, url, payload, digest, refers_to``: the page that a revisit refers to, else null."""
+    """``page_id, url, payload, digest, refers_to, referred``: the page that a revisit refers to, else null; whether revisits refer to this one."""
     base = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     base = base.withColumn("digest", F.sha2("payload", 256))
     # One row per payload that several pages have.
@@ -51,12 +53,13 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     )
     marked = base.join(first, F.col("digest") == F.col("d"), "left")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first"))
-    return marked.select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    referred = F.coalesce(F.col("page_id") == F.col("first"), F.lit(False))
+    return marked.select("page_id", "url", "payload", "digest", refers.alias("refers_to"), referred.alias("referred"))
 
 
-def record_id(page_id: Column, digest: Column) -> Column:
-    """A stable id from page and payload."""
-    h = F.sha2(F.concat_ws("/", page_id.cast("string"), digest), 256)
+def record_id(*of: Column) -> Column:
+    """An id from page and payload, and from the row's number where no other record has to know it."""
+    h = F.sha2(F.concat_ws("/", *(F.coalesce(c.cast("string"), F.lit("")) for c in of)), 256)
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -73,8 +76,10 @@ def records(marked: DataFrame, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_
     block = F.when(revisit, F.lit(HTTP_HEAD + "\r\n")).otherwise(
         F.concat(F.lit(HTTP_HEAD + "Transfer-Encoding: chunked\r\n\r\n"), F.expr(framed))
     )
-    rows = marked.select(
-        "page_id", "url", "digest", "refers_to", record_id(F.col("page_id"), F.col("digest")).alias("id"), block.cast("binary").alias("block")
+    # The number is drawn once a row, before the row is cut, in the task that writes all of its segments.
+    own = F.when(F.col("referred"), record_id(F.col("page_id"), F.col("digest"))).otherwise(record_id(F.col("page_id"), F.col("digest"), F.col("row")))
+    rows = marked.withColumn("row", F.monotonically_increasing_id()).select(
+        "page_id", "url", "digest", "refers_to", "row", own.alias("id"), block.cast("binary").alias("block")
     )
     count = f"cast(greatest(octet_length(block) - 1, 0) div {segment} AS int)"
     rows = rows.withColumn("last", F.expr(count)).withColumn("k", F.explode(F.expr(f"sequence(0, {count})")))
@@ -95,6 +100,7 @@ def records(marked: DataFrame, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_
         header("WARC-Date", F.lit(DATE)),
         header("WARC-Target-URI", target),
         header("Page-ID", F.col("page_id")),
+        header("Row-ID", F.col("row"), cut),
         header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")), ~later),
         header("WARC-Profile", F.lit(PROFILE), ~later & F.col("refers_to").isNotNull()),
         header("WARC-Refers-To", record_id(F.col("refers_to"), F.col("digest")), ~later & F.col("refers_to").isNotNull()),
@@ -115,9 +121,9 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, chunk: int
     rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
-PARSED = "record_id string, record_type string, page_id long, segment int, origin string, total long, digest string, refers_to string, block binary"
+PARSED = "record_id string, record_type string, page_id long, row long, segment int, origin string, total long, digest string, refers_to string, block binary"
 PARSED_ARROW = pa.schema([
-    ("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()), ("segment", pa.int32()), ("origin", pa.string()),
+    ("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()), ("row", pa.int64()), ("segment", pa.int32()), ("origin", pa.string()),
     ("total", pa.int64()), ("digest", pa.string()), ("refers_to", pa.string()), ("block", pa.binary()),
 ])
 
@@ -141,7 +147,7 @@ def parse(data: bytes) -> Iterator[dict]:
             raise ValueError(f"record at byte {at} ends early")
         number = lambda name: int(h[name]) if name in h else None
         yield {
-            "record_id": h["warc-record-id"], "record_type": h["warc-type"], "page_id": number("page-id"),
+            "record_id": h["warc-record-id"], "record_type": h["warc-type"], "page_id": number("page-id"), "row": number("row-id"),
             "segment": number("warc-segment-number"), "origin": h.get("warc-segment-origin-id"), "total": number("warc-segment-total-length"),
             "digest": h.get("warc-payload-digest", "").removeprefix("sha256:") or None, "refers_to": h.get("warc-refers-to"), "block": block,
         }
@@ -200,9 +206,9 @@ def gunzipped(data: bytes) -> bytes:
 def put_together(cut: DataFrame) -> DataFrame:
     """One row per segmented record with its whole ``block`` and whether it is ``complete``."""
     head = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
-    # A record written twice has each segment twice: one of each is enough.
+    # A segment that is read twice counts once.
     parts = F.array_sort(F.collect_set(F.struct("segment", "block")))
-    whole = cut.withColumn("origin", F.coalesce("origin", "record_id")).groupBy("origin").agg(
+    whole = cut.withColumn("origin", F.coalesce("origin", "record_id")).groupBy("origin", "row").agg(
         *(head(c) for c in ("record_type", "page_id", "digest", "refers_to")), F.max("total").alias("total"), parts.alias("parts"),
     )
     joined = F.expr("cast(array_join(transform(parts, p -> cast(p.block AS string)), '') AS binary)")
