@@ -153,3 +153,23 @@ def test_a_drop_zone_is_read_per_format_and_bad_records_are_set_aside(spark, tmp
         ("body_metrics", "b.csv", "unreadable record"), ("body_metrics", "notes.txt", "unsupported format"),
         ("nutrition_logs", "d.json", "unreadable record"),
     ]
+
+
+def test_a_zone_with_a_latin_1_file(spark, tmp_path):
+    folder = tmp_path / "zone" / "body_metrics"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_bytes("größe,name,n\n1,José,1\n2,Ann,2\n".encode())
+    # A longer file, with signs in its name that a path or pattern reads otherwise, a type of its own and a row that does not fit.
+    (folder / "b [1]%20.csv").write_bytes(("größe,name,n\n3,Zoë,x\n4,Jürgen,\n5,Ann,7,8\n" + "6,Ann,6\n" * 50).encode("latin-1"))
+    frames, aside = landing.read_zone(spark, str(tmp_path / "zone"))
+    got = frames["body_metrics"]
+    assert sorted(got.columns) == ["_source_file", "größe", "n", "name"]
+    assert rows(got.where("`größe` < 6"), "größe", "name", "n") == [(1, "José", "1"), (2, "Ann", "2"), (3, "Zoë", "x"), (4, "Jürgen", None)]
+    assert got.count() == 54
+    assert rows(aside, "dataset", "raw_text", "reason") == [("body_metrics", "5,Ann,7,8", "unreadable record")]
+    # Without any UTF-8 file, and with only such.
+    (folder / "a.csv").write_bytes("größe,name,n\n1,José,1\n".encode("latin-1"))
+    got = landing.read_zone(spark, str(tmp_path / "zone"))[0]["body_metrics"]
+    assert got.count() == 53 and rows(got.where("`größe` = 1"), "name") == [("José",)]
+    plain, broken = files.read_csv_checked(spark, str(tmp_path / "zone" / "body_metrics" / "a.csv"))
+    assert (rows(plain, "größe", "name"), broken.count()) == ([(1, "José")], 0)
