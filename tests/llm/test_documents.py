@@ -340,6 +340,18 @@ def test_decontamination_in_blocks_and_without_items(spark, monkeypatch):
     assert cgk.stage(docs.limit(0), bench).count() == 0
 
 
+def test_walks_reach_the_target_recall_on_very_long_items(monkeypatch):
+    rng = np.random.default_rng(11)
+    text = " ".join(f"w{j}" for j in rng.integers(0, 5000, 1600))
+    (c,) = cgk.build([(1, text)]).classes
+    # For such items 128 walks are too few.
+    assert len(c.keys) == len(c.seeds) == len(c.samples) > 128
+    monkeypatch.setattr(cgk, "WALKS_AT_ONCE", 1)
+    monkeypatch.setattr(cgk, "MOST_WALKS", 1)
+    with pytest.raises(ValueError, match="miss the recall"):
+        cgk.build([(1, text[:300])])
+
+
 def test_walks_reach_the_target_recall():
     rng, words = np.random.default_rng(10), vocabulary(10, 500)
     items = [(i, " ".join(words[j] for j in rng.integers(0, 500, rng.integers(12, 60)))) for i in range(80)]

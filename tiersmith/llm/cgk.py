@@ -37,7 +37,9 @@ from tiersmith.llm import textbytes as tb
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.98
 SAMPLES = 2
-MOST_WALKS = 128
+WALKS_AT_ONCE = 128
+# No class is known to need so many; one that does is an error, not a lower recall.
+MOST_WALKS = 1 << 14
 CLASS_RATIO = 1.25
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 8 << 20
@@ -122,19 +124,28 @@ def edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
     return np.array(out, dtype=U)
 
 
-def plan_walks(items: list[np.ndarray], c: LengthClass, target: float, max_edits: float) -> int:
-    """Walks after which items at the largest distance are found with the target recall."""
+def plan_walks(items: list[np.ndarray], c: LengthClass, target: float, max_edits: float) -> None:
+    """Draws as many walks for a class as find items at the largest distance with the target recall."""
     rng = np.random.default_rng(c.least)
     some = [items[i] for i in c.items[:64]]
     pairs = [(w, edited(w, int(allowed(len(w), max_edits)), rng)) for w in some for _ in range(max(1, 512 // len(some)))]
-    sides = [laid_out(list(s)) for s in zip(*pairs)]
-    missed = np.ones(len(pairs), bool)
-    for n, (sample, seed) in enumerate(zip(c.samples, c.seeds), 1):
-        a, b = (walk(*s, sample, seed) for s in sides)
-        missed &= a != b
-        if missed.mean() <= 1 - target:
-            return n
-    return len(c.seeds)
+    missed, sides = pairs, [laid_out(list(s)) for s in zip(*pairs)]
+    steps = max(1, int(1.5 * c.least))
+    draw = np.random.default_rng(1000 + c.least)
+    c.samples, c.seeds = np.empty((0, SAMPLES), np.int64), tb.splitmix(MOST_WALKS, c.least)
+    while len(c.samples) < MOST_WALKS:
+        # From the start and then ever later: an early step tells more, a late one sees more words.
+        drawn = np.sort(draw.integers(0, steps, (WALKS_AT_ONCE, SAMPLES)), axis=1)
+        c.samples = np.concatenate([c.samples, drawn])
+        for n in range(len(c.samples) - len(drawn), len(c.samples)):
+            a, b = (walk(*side, c.samples[n], c.seeds[n]) for side in sides)
+            missed = [pair for pair, apart in zip(missed, a != b) if apart]
+            if len(missed) / len(pairs) <= 1 - target:
+                c.samples, c.seeds = c.samples[: n + 1], c.seeds[: n + 1]
+                return
+            # Pairs that are found need no further walk.
+            sides = [laid_out(list(s)) for s in zip(*missed)]
+    raise ValueError(f"items of {c.least} to {c.most} words miss the recall of {target} after {MOST_WALKS} walks")
 
 
 def build(rows: list[tuple[int, str | None]], max_edits: float = MAX_EDITS, target: float = TARGET_RECALL) -> Index:
@@ -164,13 +175,7 @@ def build(rows: list[tuple[int, str | None]], max_edits: float = MAX_EDITS, targ
         index.vocabulary[flat >> U(64 - VOCABULARY_BITS)] |= flag
         _, keys = tb.grams(flat, np.repeat(np.arange(len(every)), [len(w) for w in every]), c.run)
         index.runs[keys >> U(64 - RUN_BITS)] |= flag
-        steps = max(1, int(1.5 * c.least))
-        rng = np.random.default_rng(1000 + c.least)
-        # From the start and then ever later: an early step tells more, a late one sees more words.
-        c.samples = np.sort(rng.integers(0, steps, (MOST_WALKS, SAMPLES)), axis=1)
-        c.seeds = tb.splitmix(MOST_WALKS, c.least)
-        n = plan_walks(index.words, c, target, max_edits)
-        c.samples, c.seeds = c.samples[:n], c.seeds[:n]
+        plan_walks(index.words, c, target, max_edits)
         flat, start, stop = laid_out(every)
         for sample, seed in zip(c.samples, c.seeds):
             keys = walk(flat, start, stop, sample, seed)
