@@ -55,9 +55,14 @@ def curve_keys(ids: np.ndarray, off: np.ndarray) -> np.ndarray:
         b = min(n, a + 256)
         owner = np.repeat(np.arange(b - a), np.diff(off[a : b + 1]))
         counts = np.bincount(owner * BUCKETS + bucket[off[a] : off[b]], minlength=(b - a) * BUCKETS)
-        vectors = np.log1p(counts).reshape(b - a, BUCKETS)
-        vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-        place = ((1 + np.tanh(vectors @ plan / 2)) / 2 * (1 << BITS)).astype(np.int64)
+        # Only buckets in use carry weight.
+        used = np.flatnonzero(counts)
+        owner, weight = used // BUCKETS, np.log1p(counts[used])
+        length = np.sqrt(np.bincount(owner, weight * weight, b - a))
+        signs = plan[used % BUCKETS]
+        along = np.stack([np.bincount(owner, weight * signs[:, d], b - a) for d in range(DIMENSIONS)], axis=1)
+        along = along / np.maximum(length, 1e-12)[:, None]
+        place = ((1 + np.tanh(along / 2)) / 2 * (1 << BITS)).astype(np.int64)
         out[a:b] = hilbert.index(np.clip(place, 0, (1 << BITS) - 1), BITS)
     return out
 
@@ -71,7 +76,7 @@ def tokenized(docs: DataFrame, definition: str, end_id: int = END_ID) -> DataFra
         wide = "<u2" if max(tok.vocabulary, end_id + 1) <= 1 << 16 else "<u4"
         for batch in batches:
             for a, b, buf, off in tb.texts(batch):
-                ids, at = tok.encode([buf[x:y].tobytes() for x, y in zip(off[:-1], off[1:])])
+                ids, at = tok.encode(buf, off)
                 keys = curve_keys(ids, at)
                 small, end = ids.astype(wide), np.array([end_id], wide).tobytes()
                 packed = [small[x:y].tobytes() + end for x, y in zip(at[:-1], at[1:])]
