@@ -1 +1 @@
-"""Operators of a training-data pipeline: ten document, page and corpus operators, one module each."""
+"""Operators of a training-data pipeline: thirteen document, page, vector and corpus operators, one module each."""

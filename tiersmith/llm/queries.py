@@ -11,10 +11,13 @@ from tiersmith.llm import (
     cgk,
     curve_packing,
     feistel_pii,
+    fim_chunks,
     hilbert_shards,
     html_model,
     line_bloom,
     repetition,
+    rotated_clusters,
+    token_files,
     url_filter,
     warc_segments,
 )
@@ -72,10 +75,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.digests(documents(spark, sf_dir))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotated_clusters.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_chunks.digests(documents(spark, sf_dir))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digests(documents(spark, sf_dir))
+
+
 OPERATORS = (
     op1_url_filter, op2_hilbert_shards, op3_quality_rules, op4_line_dedup, op5_pseudonyms, op6_warc, op7_html_text,
-    op8_jaccard_join, op9_decontamination, op10_packing,
+    op8_jaccard_join, op9_decontamination, op10_packing, op11_centroid_clusters, op12_fill_in_middle, op13_token_files,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 # The other operators have no SQL: a trained model, a checksum, a random walk or a tokenizer decides.
-ORACLES: dict[str, str] = {"op4_line_dedup": line_bloom.DIGEST_SQL, "op6_warc": warc_segments.ROUND_TRIP_SQL}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": line_bloom.DIGEST_SQL,
+    "op6_warc": warc_segments.ROUND_TRIP_SQL,
+    "op11_centroid_clusters": rotated_clusters.cluster_sql(),
+    "op12_fill_in_middle": fim_chunks.DIGEST_SQL,
+}
