@@ -25,8 +25,13 @@ def columns_of(df: DataFrame, *kinds: type) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
+def tick(name: str) -> str:
+    """A name as SQL takes it literally."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str):
-    return F.col(f"`{name}`")
+    return F.col(tick(name))
 
 
 def trim_strings(df: DataFrame) -> DataFrame:

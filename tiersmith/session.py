@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -25,6 +27,7 @@ STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 _schemas: dict[str, StructType] = {}
 _local_scratch: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def build_session(master: str = "local[*]", app: str = "tiersmith", **conf: str) -> SparkSession:
@@ -65,7 +68,36 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if app not in _local_scratch:
             _local_scratch[app] = tempfile.mkdtemp(prefix="tiersmith-")
         root = _local_scratch[app]
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove all scratch folders this session has made; frames that read them are of no use afterwards.
+
+    Results are lazy, so only the caller knows when they have been read or stored.
+    """
+    made = _made.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        _remove(spark, path)
+    return len(made)
+
+
+@contextmanager
+def temporary(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch folder for one step, removed when the step is over, also where it fails."""
+    path = scratch_dir(spark, label)
+    try:
+        yield path
+    finally:
+        _remove(spark, path)
+        _made[spark.sparkContext.applicationId].remove(path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
