@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from tiersmith.catalog.registry import query
 from tiersmith.session import scratch_dir, table
-from tiersmith.sources import bronze, files, pages, store
+from tiersmith.sources import bronze, files, ledger, pages, quarantine, store
+from tiersmith.sources.landing_table import LandingTable
 
 AT = "2024-02-01 00:00:00"
 PAGE = 100
@@ -40,6 +41,25 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, folder, schema)
 
 
+@query("A2_mixed_json", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def mixed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of arrays, objects that wrap records under each known key, files of lines, and single records."""
+    suppliers = table(spark, sf_dir, "supplier").withColumn("kind", F.col("s_suppkey") % 6)
+    record = F.to_json(F.struct("s_suppkey", "s_name", "s_nationkey", "s_acctbal"))
+    listed = F.concat_ws(", ", F.collect_list(record))
+    # A document holds the records of some 6000 keys, however many there are; single records are one in 60.
+    alone = F.col("s_suppkey") % 60 == 5
+    docs = suppliers.filter(~alone).groupBy("kind", F.floor(F.col("s_suppkey") / 6000).alias("doc")).agg(listed.alias("rows"), F.concat_ws("\n", F.collect_list(record)).alias("lines"))
+    kind = F.col("kind")
+    text = F.when(kind == 4, F.concat(F.lit("["), "rows", F.lit("]"))).when(kind == 5, F.col("lines"))
+    for k, key in enumerate(files.WRAPPER_KEYS):
+        text = text.when(kind == k, F.concat(F.lit('{"n": 1, "%s": [' % key), "rows", F.lit("]}")))
+    folder = scratch_dir(spark, "mixed")
+    singles = suppliers.filter(alone).select(record.alias("value"))
+    docs.select(text.alias("value")).union(singles).write.option("maxRecordsPerFile", 1).text(folder)
+    return files.read_json(spark, folder).withColumn("s_nationkey", F.col("s_nationkey").cast("int"))
+
+
 @query(
     "A3_nested_flatten",
     """SELECT event_id, event_type AS event_kind_name, user_id AS event_kind_user,
@@ -77,6 +97,23 @@ def union_with_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "A5_mixed_csv",
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 2 THEN c_acctbal END AS c_acctbal, c_name,
+         CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment END AS segment FROM customer""",
+)
+def mixed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with their columns in other orders, one missing, one more: they meet by name."""
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "segment")
+    folder = scratch_dir(spark, "shapes")
+    for k, columns in enumerate((["c_custkey", "c_acctbal", "c_name"], ["segment", "c_name", "c_acctbal", "c_custkey"], ["c_name", "c_custkey"])):
+        rows = customers.filter(F.col("c_custkey") % 3 == k).select(*columns)
+        rows.write.mode("append").option("header", True).csv(folder)
+    good, bad = files.read_csv_checked(spark, folder)
+    # A record is landed or set aside: one set aside here would be a row too many.
+    return good.drop("_source_file").unionByName(bad.select(F.lit(-1).cast("long").alias("c_custkey")), allowMissingColumns=True)
+
+
 LINE_SQL = """'{"event_id":' || event_id || ',"event_type":"' || event_type || '"}'"""
 
 
@@ -98,6 +135,23 @@ def bad_input_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad, allowMissingColumns=True).drop("_source_file")
 
 
+@query("A6_quarantine_replay", "SELECT event_id, event_type, event_type = 'error' AS replayed FROM events")
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that lost their end are set aside once, mended by a rule and read."""
+    line = F.to_json(F.struct("event_id", "event_type"))
+    cut = F.when(F.col("event_type") == "error", F.left(line, F.length(line) - 2)).otherwise(line)
+    folder, root = scratch_dir(spark, "lines"), scratch_dir(spark, "set-aside")
+    table(spark, sf_dir, "events").select(cut.alias("value")).write.text(folder)
+    good, bad = files.read_json_checked(spark, folder)
+    for run in ("first", "again"):
+        quarantine.set_aside(bad.withColumn("dataset", F.lit("events")), root, run)
+    items = quarantine.open_items(spark, root).filter("error_class = 'syntax'")
+    frames, released = quarantine.repaired(items, lambda c: F.concat(c, F.lit('"}')))
+    quarantine.release(released, root)
+    mended = files.stacked(frames)
+    return good.withColumn("replayed", F.lit(False)).unionByName(mended.withColumn("replayed", F.lit(True))).drop("_source_file")
+
+
 RECORD = "event_id bigint, event_type string, value double"
 PAGE_SCHEMA = f"totalHits bigint, currentPage bigint, results array<struct<{RECORD.replace(' ', ':').replace(',:', ',')}>>"
 
@@ -177,6 +231,38 @@ def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.unseen_rows(rows, landed).select("event_id")
 
 
+@query(
+    "A11_resumed_load",
+    """SELECT event_id, value, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'early' ELSE 'all' END AS load FROM events""",
+)
+def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load, one that ended half-way, and one of everything: each row is there once, by the load that finished."""
+    events = table(spark, sf_dir, "events")
+    landing = LandingTable(spark, scratch_dir(spark, "ledger"), "events", buckets=16)
+    at = F.lit(AT).cast("timestamp")
+    early = landing.land(events.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp")), "api", at)
+    landing.land(events.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp")), "api", at, batch_id="lost")
+    ledger.note(spark, landing.root, "events", "lost", ledger.LANDED, ledger.STARTED)
+    rest = landing.land(events.withColumn("note", F.lit(None).cast("string")), "api", at)
+    rows = landing.rows([early.batch_id, rest.batch_id])
+    load = F.when(F.col("_batch_id") == early.batch_id, "early").otherwise("all")
+    return rows.select("event_id", "value", load.alias("load"))
+
+
+@query(
+    "A12_clustered_month",
+    """SELECT user_id, COUNT(*) AS events, MAX(value) AS best FROM events
+       WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01' GROUP BY user_id""",
+)
+def clustered_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a table laid out by month and user, only the partitions of one month are read."""
+    root = scratch_dir(spark, "clustered")
+    store.write_clustered(table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"), root, "ts", ["user_id"], ["event_id"])
+    rows = store.read_current(spark, root)
+    month = rows.filter(store.in_months(rows, "2024-01-01", "2024-01-31"))
+    return month.groupBy("user_id").agg(F.count("*").alias("events"), F.max("value").alias("best"))
+
+
 @query("A12_silver_store", "SELECT event_id, value * 2 AS doubled FROM events")
 def silver_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "silver")
