@@ -143,27 +143,46 @@ def fixed(column: pa.Array, width: int, kind: type) -> np.ndarray:
     return raw.view(kind).reshape(len(data), -1)
 
 
+def spacious(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with texts that may exceed 2 GiB in one column."""
+    columns = [c.cast(pa.large_string()) if c.type == pa.string() else c for c in batch.columns]
+    return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
+def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(parts) == 1:
+        return parts[0]
+    names = parts[0].schema.names
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([p.column(n) for p in parts]) for n in names], names=names)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Sorted batches cut so that no group goes on in the next one, with where each group begins."""
-    rest: pa.RecordBatch | None = None
+    """Sorted batches cut so that no group goes on in the next one, with where each group begins.
+
+    The rows of a group that is still open wait as they came and are copied once, when it ends.
+    """
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
-        if not table.num_rows:
+        if not len(batch):
             continue
-        now = table.to_batches()[0]
-        new = np.zeros(len(now), bool)
-        new[0] = True
+        batch = spacious(batch)
+        new = np.zeros(len(batch), bool)
         for name in by:
-            column = now.column(name)
-            differs = pc.not_equal(column.slice(1), column.slice(0, len(now) - 1))
-            new[1:] |= differs.to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(new)
-        last = int(starts[-1])
-        if last:
-            yield now.slice(0, last), starts[:-1]
-        rest = now.slice(last)
-    if rest is not None and len(rest):
-        yield rest, np.array([0])
+            column = batch.column(name)
+            new[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(batch) - 1)).to_numpy(zero_copy_only=False)
+            if held:
+                new[0] |= held[-1].column(name)[-1] != column[0]
+        cuts = np.flatnonzero(new)
+        if not len(cuts):
+            held.append(batch)
+            continue
+        last = int(cuts[-1])
+        waiting = sum(map(len, held))
+        done = [*held, batch.slice(0, last)] if last else held
+        yield joined(done), np.concatenate([[0], waiting + cuts[:-1]]).astype(np.int64)
+        held = [batch.slice(last)]
+    if held:
+        yield joined(held), np.array([0])
 
 
 PAIRS_AT_ONCE = 1 << 18
