@@ -4,10 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +273,25 @@ def test_join_stage_keeps_one_of_each_group(spark):
     assert bayes_join.stage(docs.limit(0)).count() == 0
 
 
+def test_groups_are_cut_whole_from_batches_of_any_size():
+    rng = np.random.default_rng(5)
+    keys = np.repeat(np.arange(40), rng.integers(1, 30, 40))
+    texts = [f"text {i}" for i in range(len(keys))]
+    for size in (1, 3, 50, 10**6):
+        batches = [pa.RecordBatch.from_pydict({"a": keys[i : i + size] // 7, "b": keys[i : i + size], "text": texts[i : i + size]}) for i in range(0, len(keys), size)]
+        got, seen = [], []
+        for rows, starts in bayes_join.whole_groups(iter([*batches, batches[0].slice(0, 0)]), ["a", "b"]):
+            # Texts may exceed 2 GiB in one column.
+            assert rows.schema.field("text").type == pa.large_string() and starts[0] == 0
+            got += rows.column("text").to_pylist()
+            ends = np.append(starts[1:], len(rows))
+            for x, y in zip(starts, ends):
+                assert len(set(rows.column("b").to_pylist()[x:y])) == 1
+                seen.append(rows.column("b")[int(x)].as_py())
+        assert got == texts and seen == list(range(40))
+    assert list(bayes_join.whole_groups(iter([]), ["a"])) == []
+
+
 # ---------------------------------------------------------------- decontamination
 
 
@@ -343,6 +364,7 @@ def test_decontamination_in_blocks_and_without_items(spark, monkeypatch):
 def test_walks_reach_the_target_recall_on_very_long_items(monkeypatch):
     rng = np.random.default_rng(11)
     text = " ".join(f"w{j}" for j in rng.integers(0, 5000, 1600))
+    monkeypatch.setattr(cgk, "SEGMENT_WORDS", 1 << 20)
     (c,) = cgk.build([(1, text)]).classes
     # For such items 128 walks are too few.
     assert len(c.keys) == len(c.seeds) == len(c.samples) > 128
@@ -352,6 +374,52 @@ def test_walks_reach_the_target_recall_on_very_long_items(monkeypatch):
         cgk.build([(1, text[:300])])
 
 
+@pytest.mark.parametrize("size, copies", [(800, 40), (3200, 12), (10_000, 4)])
+def test_long_items_are_found_whole(size, copies):
+    rng = np.random.default_rng(size)
+    items = [(k, " ".join(f"w{j}" for j in rng.integers(0, 5000, size))) for k in range(2)]
+    began = time.monotonic()
+    index = cgk.build(items)
+    assert time.monotonic() - began < 60 and max(c.most for c in index.classes) <= cgk.SEGMENT_WORDS
+    texts, want = [], []
+    for k in range(copies):
+        own = cgk.edited(np.arange(1, size + 1).astype(np.uint64), size // 5 if k else 0, rng)
+        words = items[k % 2][1].split()
+        copy = " ".join(words[int(w) - 1] if w <= size else f"new{int(w) % 997}" for w in own)
+        before = " ".join(f"w{j}" for j in rng.integers(0, 5000, 30))
+        texts.append(f"{before} {copy} {before}".encode())
+        want.append((k, k % 2))
+    texts.append(b" ".join(f"w{j}".encode() for j in rng.integers(0, 5000, 3 * size)))
+    # One edit more than allowed, all of them words of their own, spread over the item.
+    far = [f"far{j}" if j % 4 == 0 else w for j, w in enumerate(items[0][1].split())]
+    texts.append(" ".join(far).encode())
+    off = np.cumsum([0, *map(len, texts)])
+    row, item, distance, first = cgk.leaks(index, np.frombuffer(b"".join(texts), np.uint8), off)
+    found = dict(zip(zip(row.tolist(), item.tolist()), zip(distance.tolist(), first.tolist())))
+    assert set(found) <= set(want) and len(found) >= 0.98 * len(want) - 0.5
+    assert found[(0, 0)] == (0, 30)
+    assert all(d <= size // 5 for d, _ in found.values())
+
+
+def test_nearest_run_is_exact():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        item, words = (rng.integers(0, 4, rng.integers(1, n)).astype(np.uint64) for n in (7, 14))
+
+        def apart(a, b):
+            row = list(range(len(b) + 1))
+            for i, x in enumerate(a):
+                new = [i + 1]
+                for j, y in enumerate(b):
+                    new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+                row = new
+            return row[-1]
+
+        runs = {(a, b): apart(item, words[a:b]) for a in range(len(words) + 1) for b in range(a, len(words) + 1)}
+        distance, first = cgk.nearest_run(item, words)
+        assert distance == min(runs.values()) and any(runs[r] == distance for r in runs if r[0] == first)
+
+
 def test_walks_reach_the_target_recall():
     rng, words = np.random.default_rng(10), vocabulary(10, 500)
     items = [(i, " ".join(words[j] for j in rng.integers(0, 500, rng.integers(12, 60)))) for i in range(80)]

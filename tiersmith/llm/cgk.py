@@ -13,6 +13,11 @@ every text is a window start of every class. Starts that cannot match are left o
 of the class's words, too few occur in the window, or no run of words as long as the pigeonhole
 principle demands. Both tests are necessary conditions, so they lose nothing.
 
+An item of more than ``SEGMENT_WORDS`` words is indexed as segments of equal length. Where the item
+occurs with few enough edits, at least one segment does too, with no more than its share of them; so a segment that
+is found, verified like any item, says where to look for the whole, and the exact edit distance of the
+whole to any run of words there decides. Classes are therefore short, and so is the search for their walks.
+
 The index is built from blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of text, which bounds the
 broadcast; each block reads the documents once. Nothing else is shuffled or sent.
 
@@ -38,8 +43,9 @@ MAX_EDITS = 0.2
 TARGET_RECALL = 0.98
 SAMPLES = 2
 WALKS_AT_ONCE = 128
-# No class is known to need so many; one that does is an error, not a lower recall.
+# No class is known to need a tenth of this; one that does is an error, not a lower recall.
 MOST_WALKS = 1 << 14
+SEGMENT_WORDS = 256
 CLASS_RATIO = 1.25
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 8 << 20
@@ -78,7 +84,12 @@ class LengthClass:
 
 @dataclass
 class Index:
+    """``words`` are items or segments of them; ``item`` and ``offset`` say of which item, and where in it."""
+
     ids: list[int]
+    whole: list[np.ndarray]
+    item: np.ndarray
+    offset: np.ndarray
     words: list[np.ndarray]
     max_edits: float
     classes: list[LengthClass]
@@ -153,7 +164,14 @@ def build(rows: list[tuple[int, str | None]], max_edits: float = MAX_EDITS, targ
     raw = [(t or "").encode() for _, t in rows]
     off = np.cumsum([0, *map(len, raw)]).astype(np.int64)
     hashes, owner = normal_words(np.frombuffer(b"".join(raw), np.uint8), off)
-    words = [hashes[owner == i] for i in range(len(rows))] if len(rows) < 50 else np.split(hashes, np.searchsorted(owner, np.arange(1, len(rows))))
+    whole = np.split(hashes, np.searchsorted(owner, np.arange(1, len(rows)))) if rows else []
+    words, item, offset = [], [], []
+    for i, own in enumerate(whole):
+        cuts = np.linspace(0, len(own), max(1, -(-len(own) // SEGMENT_WORDS)) + 1).astype(np.int64)
+        for a, b in zip(cuts, cuts[1:]):
+            words.append(own[a:b])
+            item.append(i)
+            offset.append(a)
     size = np.array([len(w) for w in words])
     classes: list[LengthClass] = []
     for i in np.argsort(size, kind="stable"):
@@ -166,7 +184,8 @@ def build(rows: list[tuple[int, str | None]], max_edits: float = MAX_EDITS, targ
         c.items.append(int(i))
         c.most, c.edits = n, max(c.edits, d)
         c.run = min(c.run, -(-(n - d) // (d + 1)))
-    index = Index([r[0] for r in rows], list(words), max_edits, classes, np.zeros(1 << VOCABULARY_BITS, U), np.zeros(1 << RUN_BITS, U))
+    places = np.array(item, np.int64), np.array(offset, np.int64)
+    index = Index([r[0] for r in rows], whole, *places, words, max_edits, classes, np.zeros(1 << VOCABULARY_BITS, U), np.zeros(1 << RUN_BITS, U))
     for k, c in enumerate(classes):
         # Classes beyond 63 share the last flag: the tests stay necessary conditions.
         flag = U(1) << U(min(k, 63))
@@ -209,6 +228,52 @@ def distances(index: Index, words: np.ndarray, stop: np.ndarray, at: np.ndarray,
     return out
 
 
+def nearest_run(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
+    """Least edit distance of an item to any run of ``words``, and where the shortest such run begins that ends first."""
+
+    def last_row(a: np.ndarray, b: np.ndarray, free: bool) -> np.ndarray:
+        offsets = np.arange(len(b) + 1)
+        row = np.zeros(len(b) + 1, np.int64) if free else offsets.copy()
+        for i, word in enumerate(a):
+            new = np.empty_like(row)
+            new[0] = i + 1
+            new[1:] = np.minimum(row[:-1] + (b != word), row[1:] + 1)
+            row = np.minimum.accumulate(new - offsets) + offsets
+        return row
+
+    ends = last_row(item, words, True)
+    end = int(ends.argmin())
+    # Backwards from that end, the first column with the same distance is the latest start.
+    back = last_row(item[::-1], words[:end][::-1], False)
+    return int(ends[end]), end - int(np.flatnonzero(back == ends[end])[0])
+
+
+def wholes(index: Index, flat: np.ndarray, begin: np.ndarray, pad: np.ndarray, hits: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Matches of whole items where segments of them were found (``at, part, which, d``), in the same form but by item."""
+    at, part, which, d = hits
+    alone = np.array([len(index.whole[i]) for i in index.item[part]]) == np.array([len(index.words[p]) for p in part])
+    rows = [(at[alone], index.item[part[alone]], which[alone], d[alone])]
+    spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for a, p, w in zip(at[~alone].tolist(), part[~alone].tolist(), which[~alone].tolist()):
+        i = int(index.item[p])
+        n = len(index.whole[i])
+        slack = int(allowed(n, index.max_edits))
+        start = a - int(index.offset[p])
+        spans.setdefault((w, i), []).append((max(int(begin[w]), start - slack), min(int(pad[w]), start + n + slack)))
+    for (w, i), own in spans.items():
+        merged: list[list[int]] = []
+        for low, high in sorted(own):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        for low, high in merged:
+            distance, first = nearest_run(index.whole[i], flat[low:high])
+            if distance <= allowed(len(index.whole[i]), index.max_edits):
+                rows.append(tuple(np.array([x], np.int64) for x in (low + first, i, w, distance)))
+    return tuple(np.concatenate(x) for x in zip(*rows))
+
+
 def leaks(index: Index, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     """Text, item, distance and first word of the best match of each text and item."""
     none = (np.empty(0, np.int64),) * 4
@@ -272,7 +337,7 @@ def leaks(index: Index, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, .
     at, item, which = pairs
     d = distances(index, flat, pad[which], at, item)
     good = d <= allowed(np.array([len(index.words[i]) for i in item]), index.max_edits)
-    at, item, which, d = at[good], item[good], which[good], d[good]
+    at, item, which, d = wholes(index, flat, begin, pad, (at[good], item[good], which[good], d[good]))
     order = np.lexsort((at, d, item, which))
     at, item, which, d = at[order], item[order], which[order], d[order]
     best = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (which[1:] != which[:-1])]) if len(at) else np.empty(0, np.int64)
@@ -306,7 +371,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS,
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            size = np.array([len(w) for w in index.words])
+            size = np.array([len(w) for w in index.whole])
             ids = np.array(index.ids)
             for batch in batches:
                 for a, b, buf, off in tb.texts(batch):
