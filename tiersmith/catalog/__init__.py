@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["ingest", "silver", "warehouse", "quality", "views", "dashboards", "histories", "pipeline"]
+MODULES = ["ingest", "silver", "warehouse", "quality", "views", "dashboards", "histories", "kept", "pipeline"]
 
 
 def load_all() -> None:

@@ -30,8 +30,8 @@ def candidate_sets(sets: DataFrame, workouts: DataFrame, exact_single: bool = Fa
 def new_records(candidates: DataFrame, order: list[str], stored: DataFrame | None = None) -> DataFrame:
     """Sets that beat everything before them in ``order`` (a total order that starts with the date).
 
-    ``stored`` holds (athlete_id, exercise_id, value): the records known before. Only sets that
-    reach the best of the days before enter the sort within a day.
+    ``stored`` holds (athlete_id, exercise_id, value): the records known before. The sets of one
+    athlete, exercise and day are sorted in one task; days are told apart by their best values.
     """
     floor = stored.withColumnRenamed("value", "estimated_1rm") if stored is not None else None
     ranked = with_best_before(
