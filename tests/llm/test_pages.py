@@ -77,6 +77,23 @@ def test_regression_tells_held_out_urls_apart(spark):
     assert got.where("verdict = want").count() == len(urls)
 
 
+def test_either_part_of_a_url_tells_by_itself(spark):
+    urls = [
+        # Bad hosts on ordinary paths, also of words the labelled hosts do not have in this form.
+        ("https://www.casino-royal.example/en/77", "block"), ("https://trackers.example.org/de/artikel/on-rivers.html", "block"),
+        ("https://m.bonus-prizes.example.net/guide/chapter-2", "block"), ("https://cheap-pill.example.com/article/9", "block"),
+        # Ordinary hosts on bad paths, and on paths of their own.
+        ("https://www.river-boats.example/promo/bonus-win", "block"), ("https://gardens.example.org/click/redirect", "block"),
+        ("https://www.river-boats.example/en/boats/77", "allow"), ("https://mountains.example.net/es/9312", "allow"),
+        ("https://zuqol.example.com/fr/120/", "allow"), ("https://www.history-club.example.org/about", "allow"),
+    ]
+    got = url_filter.judge(spark.createDataFrame(urls, "url string, want string"), rules=())
+    assert [(r.url, r.verdict, r.score) for r in got.where("verdict <> want").collect()] == []
+    learned = url_filter.judge(queries.pages(spark, "/root/testdata/sf0.01").select("page_id", "url")).where("rule IS NULL")
+    share = learned.where("verdict = 'block'").count() / learned.count()
+    assert 0 < share < 0.2
+
+
 def test_native_operators_run_no_python(spark):
     for query in (queries.op1_url_filter, queries.op2_hilbert_shards, queries.op5_pseudonyms):
         plan = query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
