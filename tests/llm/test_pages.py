@@ -94,6 +94,20 @@ def test_either_part_of_a_url_tells_by_itself(spark):
     assert 0 < share < 0.2
 
 
+def test_comments_end_where_the_standard_says():
+    text = lambda page: [t for _, t in html_model.parsed(page).blocks]
+    for comment in ("<!-->", "<!--->", "<!---->", "<!-- x -->", "<!-- x --!>", "<!-- a > b -- c -->", "<!--x--->"):
+        assert text(f"<p>a</p>{comment}<p>b</p>") == ["a", "b"]
+    assert text("<p>a</p><!-- x <p>b</p>") == ["a"]
+
+
+def test_stray_end_tags_cost_no_walk():
+    for page in ("<div>" * 30_000 + "</p>" * 30_000, "<div></p>" * 30_000, "<select>" + "<div></p>" * 30_000, "<div><body>" * 30_000):
+        began = time.monotonic()
+        html_model.parsed(page + "<p>end</p>")
+        assert time.monotonic() - began < 8
+
+
 def test_native_operators_run_no_python(spark):
     for query in (queries.op1_url_filter, queries.op2_hilbert_shards, queries.op5_pseudonyms):
         plan = query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()

@@ -20,6 +20,7 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -137,6 +138,10 @@ def tag_end(text: str, at: int, dead: set[int]) -> int:
     return first
 
 
+# A comment may end at once; else it ends with two hyphens, an exclamation mark or none, and the bracket.
+COMMENT_END, COMMENT_CLOSE = re.compile("-?>"), re.compile("--!?>")
+
+
 def parsed(text: str) -> Page:
     """Nodes and text blocks of a page. Unclosed elements end with their parent."""
     page = Page([Node("html", -1)])
@@ -145,9 +150,19 @@ def parsed(text: str) -> Page:
     links = 0
     # An element whose text is not page text, and the silent and block elements open inside it.
     silent: list[str] = []
+    # How many elements of each tag are open, so that a tag without a partner is not looked for.
+    opened, hushed = Counter(["html"]), Counter()
     dead: set[int] = set()
     at, n = 0, len(text)
 
+    def close_from(k: int) -> None:
+        opened.subtract(page.nodes[i].tag for i in stack[k:])
+        del stack[k:]
+
+    def speak_from(k: int) -> None:
+        hushed.subtract(silent[k:])
+        del silent[k:]
+
     def flush() -> None:
         joined = " ".join("".join(inner).split())
         inner.clear()
@@ -167,6 +182,8 @@ def parsed(text: str) -> Page:
     def ended_by(tag: str, closing: bool) -> int:
         """Place in the stack and then in ``silent`` of the element that a block's tag ends, 0 if there is none."""
         ends, stops = ({tag}, ()) if closing else CLOSES.get(tag, ((), ()))
+        if not any(opened[t] or hushed[t] for t in ends):
+            return 0
         for k in range(len(stack) + len(silent) - 1, 0, -1):
             own = page.nodes[stack[k]].tag if k < len(stack) else silent[k - len(stack)]
             if own in ends:
@@ -183,8 +200,8 @@ def parsed(text: str) -> Page:
         if lt > at:
             say(text[at:lt])
         if text.startswith("<!--", lt):
-            end = text.find("-->", lt + 4)
-            at = n if end < 0 else end + 3
+            end = COMMENT_END.match(text, lt + 4) or COMMENT_CLOSE.search(text, lt + 4)
+            at = end.end() if end else n
             continue
         if text.startswith(("<!", "<?"), lt):
             end = text.find(">", lt)
@@ -200,8 +217,8 @@ def parsed(text: str) -> Page:
         at = end + 1
         if tag in SILENT:
             if closing:
-                if tag in silent:
-                    del silent[silent.index(tag) :]
+                if hushed[tag]:
+                    speak_from(silent.index(tag))
             elif text[end - 1] != "/":
                 if tag in RAW:
                     stop = re.compile(f"</{tag}", re.I).search(text, at)
@@ -209,19 +226,21 @@ def parsed(text: str) -> Page:
                     at = n if close < 0 else close + 1
                 else:
                     silent.append(tag)
+                    hushed[tag] += 1
             continue
         if silent and tag in BLOCKS:
             k = ended_by(tag, closing)
             if k >= len(stack):
-                del silent[k - len(stack) :]
+                speak_from(k - len(stack))
             elif k:
                 # The block around it ends, and what was left open with it.
-                silent.clear()
-        if silent and tag == ("head" if closing else "body") and all(page.nodes[k].tag != "body" for k in stack):
-            silent.clear()
+                speak_from(0)
+        if silent and tag == ("head" if closing else "body") and not opened["body"]:
+            speak_from(0)
         if silent:
             if tag in BLOCKS and not closing:
                 silent.append(tag)
+                hushed[tag] += 1
             continue
         if tag == "a":
             links = max(0, links - 1) if closing else 1
@@ -233,19 +252,20 @@ def parsed(text: str) -> Page:
             flush()
             if closing:
                 if k := ended_by(tag, closing):
-                    del stack[k:]
+                    close_from(k)
                 continue
             links = 0
             if tag == "html":
                 continue
             if page.nodes[stack[-1]].tag == "p":
-                stack.pop()
+                close_from(len(stack) - 1)
             if tag in CLOSES and (k := ended_by(tag, closing)):
-                del stack[k:]
-            if tag == "body" and any(page.nodes[k].tag == "body" for k in stack):
+                close_from(k)
+            if tag == "body" and opened["body"]:
                 continue
             page.nodes.append(Node(tag, stack[-1], flags_of(tag, text[match.end() : end])))
             stack.append(len(page.nodes) - 1)
+            opened[tag] += 1
     flush()
     return page
 
