@@ -468,3 +468,14 @@ def test_silent_elements_without_a_close_end_with_their_parent():
     for tag in ("button", "select"):
         got = html_model.main_text(f"<article>{formula}<p>Some more of it. <{tag}>Share</p>{formula}</article>", html_model.trained())
         assert got == f"{text}\nSome more of it.\n{text}"
+
+
+def test_the_key_is_in_no_plan(spark):
+    docs = spark.createDataFrame([("card 4111 1111 1111 1111, born 2001-02-03",)], "text string")
+    key = "a very secret key"
+    by_text = feistel_pii.pseudonymised(docs, key)
+    by_table = feistel_pii.pseudonymised(docs, spark.createDataFrame([(key,)], "key string"))
+    assert by_text.first() == by_table.first() and by_text.first().text != docs.first().text
+    assert key not in by_text._jdf.queryExecution().toString()
+    other = feistel_pii.pseudonymised(docs, "another key")
+    assert other.first().text != by_text.first().text

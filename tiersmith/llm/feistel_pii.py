@@ -6,7 +6,7 @@ permutation depends on key and format only, so equal values stay linked across d
 different ones never meet. Mail addresses have no such index: their name becomes a keyed digest.
 
 Formats: payment card numbers (13 to 19 digits, Luhn; blanks and hyphens stay), social security
-numbers, phone numbers (country code stays), IPv4 addresses, dates ``yyyy-mm-dd`` and ``dd.mm.yyyy``
+numbers, phone numbers (a country code set off by a blank, hyphen or bracket stays), IPv4 addresses, dates ``yyyy-mm-dd`` and ``dd.mm.yyyy``
 from 1900 to 2099.
 
 Card numbers in one of their usual shapes are looked for at every group of digits and validated before
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiersmith.llm.scratch import stored
+
 ROUNDS = 10
 # In this order: an alternative that comes first wins where two match. Bounded repeats and starts
 # behind a boundary keep the search linear in the length of the text.
@@ -54,11 +56,20 @@ def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# The column that holds the key while a text is worked on.
+KEY = "__key"
+
+
+def spoken(key: str) -> str:
+    """A key as SQL: the column, or a literal."""
+    return key if key == KEY else quoted(key)
+
+
 def feistel(x: str, a: str, b: str, tweak: str, key: str) -> str:
     """The permutation of ``x`` among the numbers under ``a * b``, two unequal halves in turns."""
 
     def noise(half: str) -> str:
-        digest = f"sha2(concat_ws(':', {quoted(key)}, {tweak}, i, {half}), 256)"
+        digest = f"sha2(concat_ws(':', {spoken(key)}, {tweak}, i, {half}), 256)"
         return f"cast(conv(substring({digest}, 1, 14), 16, 10) AS long)"
 
     return (
@@ -139,7 +150,7 @@ def pseudonym_cases(m: str, key: str) -> dict[str, tuple[str, str]]:
     rest = f"substring({m}, length({code}) + 1)"
     phone = f"concat({code}, {refilled(rest, permuted_digits(digits(rest), 'phone', key))})"
 
-    name = f"substring(sha2(concat_ws(':', {quoted(key)}, 'email', lower({m})), 256), 1, 16)"
+    name = f"substring(sha2(concat_ws(':', {spoken(key)}, 'email', lower({m})), 256), 1, 16)"
     email = f"concat('u', {name}, '@', substring_index({m}, '@', -1))"
     return {
         "email": ("true", email),
@@ -181,9 +192,15 @@ def found_sql(t: str) -> str:
     return f"transform({whole}, w -> {inside})"
 
 
-def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` rewritten, and ``pii_kinds``: the kind of each value replaced, in order."""
-    cases = pseudonym_cases("f.m", key)
+def pseudonymised(docs: DataFrame, key: str | DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``text`` rewritten, and ``pii_kinds``: the kind of each value replaced, in order.
+
+    The key is read from a table of one row, ``key``, by a scalar subquery, so plans and event logs only
+    name the table. A key given as text is written to the shared folder first; who reads that
+    folder can undo the pseudonyms, so a production key belongs in a table of its own.
+    """
+    table = key if isinstance(key, DataFrame) else stored(docs.sparkSession.createDataFrame([(key,)], "key string"), "key")
+    cases = pseudonym_cases("f.m", KEY)
     new = "CASE f.kind " + " ".join(f"WHEN {quoted(k)} THEN {p}" for k, (_, p) in cases.items()) + " ELSE f.m END"
     # The cards of a text, as they are written, and a pattern for just these.
     cards = f"array_distinct(filter(regexp_extract_all(`{text}`, {quoted(CARD_STARTS)}, 1), m -> {pseudonym_cases('m', '')['card'][0]}))"
@@ -196,11 +213,12 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     row = f"flatten(flatten(zip_with({kept}, {found_sql('t')}, (s, w) -> array(s, coalesce(w, array())))))"
     pieces = f"flatten(flatten(zip_with(transform({between}, t -> {row}), {taken}, (r, c) -> array(r, coalesce(c, array())))))"
     # Most texts have neither a digit nor an at sign: one cheap look spares them the search.
-    found = docs.withColumn("__cards", F.when(F.col(text).rlike("[0-9]{4}"), F.expr(cards)).otherwise(F.expr("array()").cast("array<string>")))
+    keyed = docs.withColumn(KEY, table.select("key").scalar())
+    found = keyed.withColumn("__cards", F.when(F.col(text).rlike("[0-9]{4}"), F.expr(cards)).otherwise(F.expr("array()").cast("array<string>")))
     found = found.withColumn("__found", F.when(F.col(text).rlike("[0-9@]"), F.expr(pieces)))
     rewritten = f"array_join(transform(__found, f -> {new}), '')"
     return (
         found.withColumn(text, F.when(F.expr("size(__found) > 1"), F.expr(rewritten)).otherwise(F.col(text)))
         .withColumn("pii_kinds", F.expr("coalesce(transform(filter(__found, f -> f.kind IS NOT NULL), f -> f.kind), array())").cast("array<string>"))
-        .drop("__found", "__cards")
+        .drop("__found", "__cards", KEY)
     )
