@@ -125,3 +125,45 @@ def test_distribution_against_numpy(spark, size):
         if size > 1:
             assert got[g]["std"] == pytest.approx(float(xs.std(ddof=1)))
     assert got["constant"].zeros == size
+
+
+def test_cut_points_are_even_and_in_order(spark):
+    names = ["", "a'b", "ä", None, "z"]
+    data = [(names[i % 5], None if i % 11 == 0 else START + datetime.timedelta(seconds=i % 97), i / 7) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, v double")
+    by = ["k", "ts", "v"]
+    got = ordered.with_range_bucket(df, ["k"], ["ts", "v"], "bucket", ranges=16).orderBy(*by).collect()
+    buckets = [r.bucket for r in got]
+    assert buckets == sorted(buckets) and set(buckets) == set(range(16))
+    assert max(buckets.count(b) for b in range(16)) < 3 * 2000 / 16
+    assert ordered.with_range_bucket(df.limit(0), ["k"], ["ts"], "b").count() == 0
+    assert {r.b for r in ordered.with_range_bucket(df.limit(1), ["k"], ["ts"], "b", ranges=4).collect()} <= {0, 1}
+
+
+def test_no_rows_are_written_to_cut_ranges(spark, skewed, monkeypatch):
+    monkeypatch.setattr("tiersmith.session.scratch_dir", None)
+    df = skewed[1].select("id", "k", "ts", "v")
+    timed = ordered.with_range_bucket(df, ["k"], ["ts", "id"], "b", ranges=64)
+    plan = ordered.previous_value(timed, ["k"], "b", ["ts", "id"], "v", "p")._jdf.queryExecution().optimizedPlan().toString()
+    # No exchange by range, and the cut points are one constant a step.
+    assert "RepartitionByExpression" in plan and "sort order" not in plan and "named_struct" not in plan
+    assert len(plan) < 200_000
+
+
+def test_one_day_of_one_exercise_is_cut(spark):
+    rnd, day = random.Random(9), datetime.date(2024, 5, 1)
+    sets = [(1, 1, day, w, n, rnd.choice([None, float(rnd.randint(1, 10_000))])) for w in range(300) for n in range(4)]
+    df = spark.createDataFrame(sets, "athlete_id int, exercise_id int, workout_date date, workout_id int, set_number int, estimated_1rm double")
+    order = ["workout_date", "workout_id", "set_number"]
+    buckets = ordered.with_range_bucket(df, records.KEYS, order, ranges=16).groupBy("_bucket").count()
+    assert buckets.count() == 16 and buckets.agg({"count": "max"}).first()[0] < 300
+    best, want = None, []
+    for *_, w, n, v in sets:
+        if v is not None and (best is None or v > best):
+            want.append((w, n, v, best))
+            best = v
+    found = records.new_records(df, order).collect()
+    got = sorted((r.workout_id, r.set_number, r.new_value, r.previous_value) for r in found if r.new_value is not None)
+    assert got == want
+    flags = {(r.workout_id, r.set_number) for r in records.flag_sets(df, order).collect() if r.is_pr and r.estimated_1rm is not None}
+    assert flags == {(w, n) for w, n, *_ in want}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiersmith.functions.numeric import e1rm, rounded
-from tiersmith.operators.ordered import with_best_before
+from tiersmith.operators.ordered import with_best_before, with_range_bucket
 
 KEYS = ["athlete_id", "exercise_id"]
 
@@ -30,12 +30,14 @@ def candidate_sets(sets: DataFrame, workouts: DataFrame, exact_single: bool = Fa
 def new_records(candidates: DataFrame, order: list[str], stored: DataFrame | None = None) -> DataFrame:
     """Sets that beat everything before them in ``order`` (a total order that starts with the date).
 
-    ``stored`` holds (athlete_id, exercise_id, value): the records known before. The sets of one
-    athlete, exercise and day are sorted in one task; days are told apart by their best values.
+    ``stored`` holds (athlete_id, exercise_id, value): the records known before. The sets of one athlete and
+    exercise are cut into ranges of ``order``, so many sets on one day are several tasks; in a range only sets
+    that beat the ranges before it are sorted.
     """
     floor = stored.withColumnRenamed("value", "estimated_1rm") if stored is not None else None
     ranked = with_best_before(
-        candidates, KEYS, "workout_date", order, "estimated_1rm", "previous_value", floor
+        with_range_bucket(candidates, KEYS, order), KEYS, "_bucket", order, "estimated_1rm", "previous_value", floor,
+        only_better=True,
     )
     new, old = F.col("estimated_1rm"), F.col("previous_value")
     gain = F.when(old > 0, rounded((new - old) / old * 100, 2)).otherwise(100.0)
@@ -73,11 +75,10 @@ def logged_sets(sets: DataFrame, workouts: DataFrame, exercises: DataFrame) -> t
 def flag_sets(candidates: DataFrame, order: list[str], stored: DataFrame | None = None) -> DataFrame:
     """Every new set with its estimate, the record it met and whether it beat it."""
     floor = stored.withColumnRenamed("value", "estimated_1rm") if stored is not None else None
-    ranked = with_best_before(
-        candidates, KEYS, "workout_date", order, "estimated_1rm", "previous_pr", floor
-    )
+    timed = with_range_bucket(candidates, KEYS, order)
+    ranked = with_best_before(timed, KEYS, "_bucket", order, "estimated_1rm", "previous_pr", floor)
     beats = F.col("previous_pr").isNull() | (F.col("estimated_1rm") > F.col("previous_pr"))
-    return ranked.withColumn("is_pr", F.coalesce(beats, F.lit(False)))
+    return ranked.withColumn("is_pr", F.coalesce(beats, F.lit(False))).drop("_bucket")
 
 
 def upsert_records(stored: DataFrame, found: DataFrame) -> DataFrame:
