@@ -9,8 +9,10 @@ from pyspark.sql import types as T
 from tiersmith.catalog.registry import query
 from tiersmith.catalog.sqltext import dsum, rnd
 from tiersmith.functions.numeric import rounded
+from tiersmith.catalog.views import tokens_sql
 from tiersmith.operators import sketches
 from tiersmith.operators.incremental import Kept
+from tiersmith.operators.postings import SearchIndex
 from tiersmith.session import scratch_dir, table
 from tiersmith.sources import quarantine
 from tiersmith.sources.landing_table import LandingTable
@@ -46,6 +48,37 @@ def kept_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.current(spark).select("user_id", "day", F.col("rows").alias("meals"), rounded("calories", 2).alias("calories"), "kinds")
 
 
+RANKED_SQL = f"""WITH texts AS (
+      SELECT doc_id, {tokens_sql("CASE WHEN doc_id % 5 = 0 THEN text || ' anat singing' ELSE text END")} AS w, {tokens_sql("source")} AS s
+      FROM documents WHERE doc_id % 7 <> 0
+    ),
+    counted AS (SELECT doc_id, CAST(len(w) + 2 * len(s) AS BIGINT) AS words, u.term,
+        len(list_filter(w, lambda x: x = u.term)) + 2 * len(list_filter(s, lambda x: x = u.term)) AS frequency
+      FROM texts CROSS JOIN (VALUES ('anat'), ('sing')) u(term)),
+    there AS (SELECT *, COUNT(*) OVER (PARTITION BY term) AS with_term FROM counted WHERE frequency > 0)
+    SELECT doc_id, CAST(SUM(frequency) AS BIGINT) AS hits, MAX(words) AS words,
+      {rnd("CAST(SUM(CAST(CAST(frequency AS DOUBLE) / words * ln(1 + CAST((SELECT COUNT(*) FROM texts) AS DOUBLE) / with_term) AS DECIMAL(38,15))) AS DOUBLE)", 9)} AS rank
+    FROM there GROUP BY doc_id HAVING COUNT(*) = 2"""
+
+
+@query("G10_kept_search", RANKED_SQL)
+def kept_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked matches from an index after a first load, changed texts, late and deleting changes, and a merge between."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    change = lambda df, seq, op="UPSERT": df.withColumns({"seq": F.lit(seq), "op": F.lit(op)})
+    longer = docs.filter("doc_id % 5 = 0").withColumn("text", F.concat("text", F.lit(" anat singing")))
+    batches = [
+        change(docs, 1), change(longer, 2).unionByName(change(docs.filter("doc_id % 7 = 0"), 3, "DELETE")),
+        change(docs.filter("doc_id % 10 = 0"), 0),
+    ]
+    index, log = SearchIndex(scratch_dir(spark, "index"), "doc_id", {"text": 1, "source": 2}), scratch_dir(spark, "changes")
+    for number, batch in enumerate(batches):
+        aggregates.take(batch, number, [index], log, ["doc_id"], ["seq"], "op")
+        if number == 1:
+            index.fold(spark)
+    return index.search(spark, "singing anat")
+
+
 PROFILED = ["event_id", "user_id", "value", "event_type"]
 
 

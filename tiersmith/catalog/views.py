@@ -251,12 +251,16 @@ def _stem_sql(words: str) -> str:
     return words
 
 
+def tokens_sql(text: str) -> str:
+    """The words of ``functions.text.tokens`` in SQL."""
+    words = f"""list_filter(string_split(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
+        lambda x: x <> '' AND x NOT IN {in_list(STOP_WORDS)})"""
+    return _stem_sql(words)
+
+
 def _search_sql(source: str, key: str, text: str, terms: list[str]) -> str:
-    stop = in_list(STOP_WORDS)
     has = " AND ".join(f"list_contains(w, '{t}')" for t in terms)
-    words = f"""list_filter(string_split(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
-        lambda x: x <> '' AND x NOT IN {stop})"""
-    return f"""WITH words AS (SELECT {key}, {_stem_sql(words)} AS w FROM {source}),
+    return f"""WITH words AS (SELECT {key}, {tokens_sql(text)} AS w FROM {source}),
       hits AS (SELECT {key}, CAST(len(list_filter(w, lambda x: x IN {in_list(terms)})) AS INTEGER) AS hits,
         CAST(len(w) AS INTEGER) AS words FROM words WHERE {has})
       SELECT *, CAST(hits AS DOUBLE) / words AS score FROM hits"""

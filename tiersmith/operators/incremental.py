@@ -47,12 +47,16 @@ def before_and_after(
 
 @dataclass(frozen=True)
 class Kept:
-    """An aggregate below ``root``: expressions over a row for its groups, sums and distinct values."""
+    """An aggregate below ``root``: expressions over a row for its groups, sums and distinct values.
+
+    ``folders`` names a group with few values that becomes a folder level, so that a filter on it rules out files.
+    """
 
     root: str
     groups: dict[str, Column]
     sums: dict[str, Column] = field(default_factory=dict)
     distinct: tuple[str, Column] | None = None
+    folders: str | None = None
 
     def _by(self) -> list[str]:
         return [*self.groups, *(["_value"] if self.distinct else [])]
@@ -83,7 +87,19 @@ class Kept:
 
     def apply(self, before: DataFrame | None, after: DataFrame, batch: str | int) -> None:
         """Take a batch in; the same batch again replaces itself."""
-        store.appended(self.deltas(before, after), f"{self.root}/log", str(batch))
+        deltas = self.deltas(before, after)
+        if self.folders:
+            self._write(deltas, f"{self.root}/log/batch={batch}")
+        else:
+            store.appended(deltas, f"{self.root}/log", str(batch))
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        if not self.folders:
+            rows.write.mode("overwrite").parquet(path)
+            return
+        by = [self.folders, *(g for g in self._by() if g != self.folders)]
+        placed = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+        placed.write.mode("overwrite").partitionBy(self.folders).parquet(path)
 
     def _folded(self, spark: SparkSession) -> tuple[int, list[str]]:
         versions = sorted(int(n[2:-5]) for n in paths.names(spark, f"{self.root}/folded") if n.startswith("v="))
@@ -96,6 +112,9 @@ class Kept:
         names = [n for n in paths.names(spark, f"{self.root}/log") if n.startswith("batch=") and paths.exists(spark, f"{self.root}/log/{n}/_SUCCESS")]
         since = [f"{self.root}/log/{n}" for n in names if n not in done]
         parts = ([f"{self.root}/base/v={version}"] if version else []) + since
+        if self.folders:
+            # A batch that changed nothing has no file and so no schema.
+            parts = [p for p in parts if any(n.startswith(f"{self.folders}=") for n in paths.names(spark, p))]
         rows = [spark.read.parquet(p) for p in parts]
         whole = None
         for r in rows:
@@ -121,7 +140,7 @@ class Kept:
         whole, held, version = self._state(spark)
         if whole is None:
             return
-        self._added(whole).write.mode("overwrite").parquet(f"{self.root}/base/v={version + 1}")
+        self._write(self._added(whole), f"{self.root}/base/v={version + 1}")
         paths.write_text(spark, f"{self.root}/folded/v={version + 1}.json", json.dumps(held))
         for name in held:
             paths.delete(spark, f"{self.root}/log/{name}")
