@@ -20,7 +20,7 @@ CHECKED = [
     "H2_weekly_volume", "H7_weight_trend", "H14_overview", "H21_best_streak", "H25_athlete_cards", "I7_score_delta",
     "I12_run_totals", "J1_file_arrival_ingest", "J2_change_feed_upsert", "P_pipeline", "A2_mixed_json", "A5_mixed_csv",
     "A6_quarantine_replay", "A11_resumed_load", "A12_clustered_month", "E9_history_timeline", "G3_kept_daily_totals",
-    "F2_F3_sketch_profile", "J1_checked_arrivals",
+    "F2_F3_sketch_profile", "J1_checked_arrivals", "G10_kept_search",
 ]
 
 
