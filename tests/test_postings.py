@@ -2,7 +2,10 @@
 
 import math
 
+from pyspark.sql import functions as F
+
 from tiersmith.functions.text import STOP_WORDS, query_terms, stem
+from tiersmith.operators import incremental, postings
 from tiersmith.operators.postings import PART, SearchIndex
 from tiersmith.session import scratch_dir
 from tiersmith.streaming import aggregates
@@ -62,3 +65,34 @@ def test_only_folders_of_the_terms_are_read(spark):
     scan = found._jdf.queryExecution().executedPlan().toString()
     filters = scan[scan.index("PartitionFilters:"):].split("]")[0]
     assert PART in filters and "xxhash64" not in filters
+
+
+def test_postings_of_a_text_are_counted_inside_its_row(spark):
+    index = SearchIndex(scratch_dir(spark, "index"), "k", {"name": 3, "body": 1})
+    texts = spark.createDataFrame([(1, "hot", "a hot bolt"), (2, None, ""), (3, "b c", None), (4, "x", "y"), (4, "x", "z")], "k int, name string, body string")
+    found = index.postings_of(texts, 2)
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("b", 3, 3, 6), ("bolt", 1, 1, 5), ("c", 3, 3, 6), ("hot", 1, 4, 5), ("x", 4, 6, 8), ("y", 4, 1, 8), ("z", 4, 1, 8),
+    ]
+    # No sums, windows and sorts over the postings of many texts: above the words there is only a projection.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan[: plan.index("Generate explode")]
+
+
+def test_a_task_holds_a_bounded_number_of_postings(spark, monkeypatch):
+    monkeypatch.setattr(postings, "PIECE", 1000, raising=False)
+    monkeypatch.setattr(incremental, "RANGE_ROWS", 100, raising=False)
+    index = SearchIndex(scratch_dir(spark, "index"), "k", {"body": 1}, parts=1)
+    texts = spark.range(400).selectExpr("cast(id as int) k", "concat('w', id, ' common') body")
+    index.apply(None, texts, 0)
+
+    def largest(path):
+        files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).count()
+        return files.agg(F.max("count")).first()[0], files.count()
+
+    root = f"{index.root}/postings"
+    assert largest(f"{root}/log/batch=0")[0] < 400
+    index.fold(spark)
+    most, files = largest(f"{root}/base/v=1")
+    assert most < 300 and files >= 5
+    assert index.search(spark, "common").count() == 400

@@ -23,6 +23,8 @@ from tiersmith.sources import paths, store
 
 DELETE = "DELETE"
 NUMBER = "decimal(38,6)"
+# Rows whose sums one task holds while a fold writes the folders of an aggregate.
+RANGE_ROWS = 500_000
 
 
 def before_and_after(
@@ -65,8 +67,8 @@ class Kept:
         numbers = [c for c in rows.columns if c == "_rows" or c.startswith(("_sum_", "_have_"))]
         return rows.groupBy(*self._by()).agg(*(F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in numbers))
 
-    def deltas(self, before: DataFrame | None, after: DataFrame) -> DataFrame:
-        """Signed sums per group (and distinct value); groups where nothing changes have none."""
+    def _signed(self, before: DataFrame | None, after: DataFrame) -> DataFrame:
+        """The rows a batch takes away and those it brings, each with its sign."""
         values = {f"_sum_{n}": c.cast(NUMBER) for n, c in self.sums.items()}
 
         def signed(rows: DataFrame, sign: int) -> DataFrame:
@@ -78,28 +80,44 @@ class Kept:
             return own.withColumns({n: (F.coalesce(F.col(n), F.lit(0)) * sign).cast(NUMBER) for n in values}) if values else own
 
         rows = signed(after, 1)
-        rows = rows if before is None else signed(before, -1).unionByName(rows)
-        found = self._added(rows)
+        return rows if before is None else signed(before, -1).unionByName(rows)
+
+    def _moved(self, signed: DataFrame) -> DataFrame:
+        """Sums of signed rows, of the groups where they are not 0."""
+        found = self._added(signed)
         moved = F.lit(False)
         for c in (c for c in found.columns if c not in self._by()):
             moved |= F.col(c) != 0
         return found.filter(moved)
 
-    def apply(self, before: DataFrame | None, after: DataFrame, batch: str | int) -> None:
-        """Take a batch in; the same batch again replaces itself."""
-        deltas = self.deltas(before, after)
+    def deltas(self, before: DataFrame | None, after: DataFrame) -> DataFrame:
+        """Signed sums per group (and distinct value); groups where nothing changes have none."""
+        return self._moved(self._signed(before, after))
+
+    def apply(self, before: DataFrame | None, after: DataFrame, batch: str | int, ranges: int | None = None) -> None:
+        """Take a batch in; the same batch again replaces itself.
+
+        ``ranges`` says into how many tasks the rows of an aggregate in folders are cut, for a caller that knows how
+        many rows a batch has.
+        """
         if self.folders:
-            self._write(deltas, f"{self.root}/log/batch={batch}")
+            self._write(self._moved(self._placed(self._signed(before, after), ranges)), f"{self.root}/log/batch={batch}")
         else:
-            store.appended(deltas, f"{self.root}/log", str(batch))
+            store.appended(self.deltas(before, after), f"{self.root}/log", str(batch))
+
+    def _order(self) -> list[str]:
+        return [self.folders, *(g for g in self._by() if g != self.folders)]
+
+    def _placed(self, rows: DataFrame, ranges: int | None) -> DataFrame:
+        """Rows in ranges of their groups, ahead of the sums: a task then holds the groups of its range, not those of its input."""
+        return rows.repartitionByRange(*([ranges] if ranges else []), *self._order())
 
     def _write(self, rows: DataFrame, path: str) -> None:
+        """Store sums; those of an aggregate in folders are in ranges already."""
         if not self.folders:
             rows.write.mode("overwrite").parquet(path)
             return
-        by = [self.folders, *(g for g in self._by() if g != self.folders)]
-        placed = rows.repartitionByRange(*by).sortWithinPartitions(*by)
-        placed.write.mode("overwrite").partitionBy(self.folders).parquet(path)
+        rows.sortWithinPartitions(*self._order()).write.mode("overwrite").partitionBy(self.folders).parquet(path)
 
     def _folded(self, spark: SparkSession) -> tuple[int, list[str]]:
         versions = sorted(int(n[2:-5]) for n in paths.names(spark, f"{self.root}/folded") if n.startswith("v="))
@@ -140,6 +158,9 @@ class Kept:
         whole, held, version = self._state(spark)
         if whole is None:
             return
+        if self.folders:
+            # Stored rows are counted from the footers of their files.
+            whole = self._placed(whole, 1 + whole.count() // RANGE_ROWS)
         self._write(self._added(whole), f"{self.root}/base/v={version + 1}")
         paths.write_text(spark, f"{self.root}/folded/v={version + 1}.json", json.dumps(held))
         for name in held:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiersmith.functions.numeric import rounded
@@ -19,6 +19,8 @@ from tiersmith.functions.text import query_terms, tokens
 from tiersmith.operators.incremental import Kept
 
 PART = "_part"
+# Bytes of text whose postings one task holds: some 500,000 of them.
+PIECE = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -45,25 +47,55 @@ class SearchIndex:
     def _rows(self) -> Kept:
         return Kept(f"{self.root}/rows", {"all": F.lit(0)})
 
-    def postings_of(self, df: DataFrame) -> DataFrame:
-        """(term, key, frequency, words) of the texts in ``df``, which has a row per key."""
+    def postings_of(self, df: DataFrame, tasks: int | None = None) -> DataFrame:
+        """(term, key, frequency, words) of the texts in ``df``, which has a row per key.
+
+        Words are counted inside the row of their text, so a task holds one text at a time and not all postings
+        of its texts. ``tasks`` says into how many tasks the texts are dealt.
+        """
         have = [c for c in self.weights if c in df.columns]
         if not have:
             raise ValueError(f"none of the columns {sorted(self.weights)} is there")
-        # One row per column and text, so that texts are cut once, and then one per word.
-        fields = F.array(*[F.struct(F.lit(self.weights[c]).cast("bigint").alias("n"), F.col(c).cast("string").alias("text")) for c in have])
-        texts = df.filter(F.col(self.key).isNotNull()).select(self.key, F.explode(fields).alias("f"))
-        cut = texts.select(self.key, F.col("f.n").alias("n"), F.explode(tokens(F.col("f.text"))).alias("term"))
-        words = cut.groupBy("term", self.key).agg(F.sum("n").alias("frequency"))
-        # The words of a text are the sum over its terms, next to which all of them lie.
-        total = F.sum("frequency").over(Window.partitionBy(self.key))
-        return words.withColumn("words", total)
+
+        def weighed(c: str) -> Column:
+            n = F.lit(self.weights[c]).cast("bigint").alias("n")
+            return F.transform(tokens(F.col(c).cast("string")), lambda x: F.struct(x.alias("term"), n))
+
+        texts = df.filter(F.col(self.key).isNotNull()).select(self.key, *have)
+        texts = texts.repartition(tasks, self.key) if tasks else texts
+        cut = texts.select(self.key, F.concat(*map(weighed, have)).alias("_cut"))
+        # Rows of the same key are one text.
+        whole = cut.groupBy(self.key).agg(F.sort_array(F.flatten(F.collect_list("_cut"))).alias("_all"))
+        every, at = F.col("_all"), F.col("_at")
+        first = lambda x, i: (i == 0) | (x["term"] != F.get(every, i - 1)["term"])
+        places = F.transform(every, lambda x, i: F.when(first(x, i), i))
+        found = whole.select(
+            self.key, "_all", F.filter(places, lambda i: i.isNotNull()).alias("_at"),
+            F.aggregate(every, F.lit(0).cast("bigint"), lambda n, x: n + x["n"]).alias("words"),
+        )
+
+        def posting(start: Column, k: Column) -> Column:
+            own = F.slice(every, start + 1, F.coalesce(F.get(at, k + 1), F.size(every)) - start)
+            frequency = F.aggregate(own, F.lit(0).cast("bigint"), lambda n, x: n + x["n"])
+            return F.struct(F.get(every, start)["term"].alias("term"), frequency.alias("frequency"))
+
+        postings = found.select(self.key, "words", F.explode(F.transform(at, posting)).alias("_p"))
+        return postings.select(F.col("_p.term").alias("term"), self.key, F.col("_p.frequency").alias("frequency"), "words")
+
+    def _tasks(self, before: DataFrame | None, after: DataFrame) -> int:
+        """How many tasks hold the postings of a batch: one for each ``PIECE`` of its texts."""
+        have = [c for c in self.weights if c in after.columns]
+        length = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in have), F.lit(0).cast("bigint"))
+        sides = [df.agg(F.sum(length).alias("n")) for df in (before, after) if df is not None]
+        size = reduce(DataFrame.unionByName, sides).agg(F.sum("n").alias("n")).first()["n"]
+        return 1 + (size or 0) // PIECE
 
     def apply(self, before: DataFrame | None, after: DataFrame, batch: str | int) -> None:
         """Take a batch in: the rows it takes away and those it brings. The same batch again replaces itself."""
         known = lambda df: df.filter(F.col(self.key).isNotNull())
         self._rows().apply(before and known(before), known(after), batch)
-        self._postings().apply(before and self.postings_of(before), self.postings_of(after), batch)
+        tasks = self._tasks(before, after)
+        self._postings().apply(before and self.postings_of(before, tasks), self.postings_of(after, tasks), batch, tasks)
 
     def fold(self, spark: SparkSession) -> None:
         """Merge all batches so far, so that a question reads one set of files again."""
