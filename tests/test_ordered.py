@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tiersmith.operators import ordered, records
 from tiersmith.operators.quantiles import distribution, value_counts
@@ -167,3 +168,41 @@ def test_one_day_of_one_exercise_is_cut(spark):
     assert got == want
     flags = {(r.workout_id, r.set_number) for r in records.flag_sets(df, order).collect() if r.is_pr and r.estimated_1rm is not None}
     assert flags == {(w, n) for w, n, *_ in want}
+
+
+def _sets(spark, athletes, exercises, days):
+    return spark.range(athletes * exercises * days).select(
+        (F.col("id") % athletes).cast("int").alias("athlete_id"), (F.floor(F.col("id") / athletes) % exercises).cast("int").alias("exercise_id"),
+        F.expr("date'2024-01-01' + cast(floor(id / 60) as int)").alias("workout_date"), F.col("id").alias("workout_id"),
+        F.lit(1).alias("set_number"), (F.hash("id") % 97).cast("double").alias("estimated_1rm"),
+    )
+
+
+@pytest.mark.parametrize("shape", [(10, 6, 5), (1, 2, 200)])
+def test_stored_bests_meet_whole_and_split_keys(spark, shape):
+    order = ["workout_date", "workout_id", "set_number"]
+    df = _sets(spark, *shape)
+    stored = spark.createDataFrame([(0, 0, 50.0), (0, 1, None), (3, 2, 20.0), (7, 7, 1.0)], "athlete_id int, exercise_id long, value double")
+    best = {(0, 0): 50.0, (3, 2): 20.0}
+    want = {}
+    for r in df.orderBy(*order).collect():
+        key = (r.athlete_id, r.exercise_id)
+        want[r.workout_id] = best.get(key)
+        best[key] = max(best.get(key, r.estimated_1rm), r.estimated_1rm)
+    got = {r.workout_id: r.previous_pr for r in records.flag_sets(df, order, stored).collect()}
+    assert got == want
+    records_ = {r.workout_id: r.previous_value for r in records.new_records(df, order, stored).collect()}
+    better = {r.workout_id for r in df.collect() if want[r.workout_id] is None or r.estimated_1rm > want[r.workout_id]}
+    assert records_ == {k: want[k] for k in better}
+
+
+def test_a_stored_best_costs_no_summary_of_all_rows(spark):
+    order = ["workout_date", "workout_id", "set_number"]
+    df = _sets(spark, 10, 6, 5)
+    stored = spark.createDataFrame([(0, 0, 50.0)], "athlete_id int, exercise_id int, value double")
+    timed, floor = ordered.with_shared_buckets(df, stored.withColumnRenamed("value", "v"), records.KEYS, order)
+    assert floor.count() == 1 and timed.count() == 300
+    plan = records.flag_sets(df, order, stored)._jdf.queryExecution().optimizedPlan().toString()
+    for part in plan.split("Aggregate [")[1:]:
+        # What is summed up for the carried bests are the rows of the split keys.
+        assert "Filter" in part.split("Join")[0]

@@ -323,7 +323,8 @@ LOGGED = f"""SELECT s.*, w.athlete_id, w.workout_date, CASE WHEN s.reps = 1 THEN
     ),
 )
 def log_sets_with_pr_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known, unknown = records.logged_sets(*parts(spark, sf_dir))
+    # Joined once: the sets are read for the records, the ranges, their summary, the window and the errors.
+    known, unknown = records.told_apart(written(records.matched_sets(*parts(spark, sf_dir)), "matched-sets"))
     old = F.col("workout_date") < F.lit(STORED_UNTIL).cast("date")
     stored = known.filter(old).groupBy(*records.KEYS).agg(F.max("estimated_1rm").alias("value"))
     flagged = records.flag_sets(known.filter(~old), ORDER, stored)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiersmith.functions.numeric import e1rm, rounded
-from tiersmith.operators.ordered import with_best_before, with_range_bucket
+from tiersmith.operators.ordered import with_best_before, with_shared_buckets
 
 KEYS = ["athlete_id", "exercise_id"]
 
@@ -35,10 +35,10 @@ def new_records(candidates: DataFrame, order: list[str], stored: DataFrame | Non
     that beat the ranges before it are sorted.
     """
     floor = stored.withColumnRenamed("value", "estimated_1rm") if stored is not None else None
+    timed, floor = with_shared_buckets(candidates, floor, KEYS, order)
     ranked = with_best_before(
-        with_range_bucket(candidates, KEYS, order), KEYS, "_bucket", order, "estimated_1rm", "previous_value", floor,
-        only_better=True,
-    )
+        timed, KEYS, "_bucket", order, "estimated_1rm", "previous_value", floor, only_better=True,
+    )
     new, old = F.col("estimated_1rm"), F.col("previous_value")
     gain = F.when(old > 0, rounded((new - old) / old * 100, 2)).otherwise(100.0)
     return ranked.filter(old.isNull() | (new > old)).select(
@@ -53,29 +53,36 @@ def new_records(candidates: DataFrame, order: list[str], stored: DataFrame | Non
     )
 
 
-def logged_sets(sets: DataFrame, workouts: DataFrame, exercises: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sets to log with their estimate, and those that cannot be logged with an ``error``.
-
-    Every type of set is logged; one repetition counts with its own weight.
-    """
+def matched_sets(sets: DataFrame, workouts: DataFrame, exercises: DataFrame) -> DataFrame:
+    """Sets to log with athlete and date, and an ``error`` where one cannot be logged."""
     owner = workouts.select(F.col("id").alias("workout_id"), "athlete_id", "workout_date")
     known = exercises.select(F.col("id").alias("exercise_id"), F.lit(True).alias("_known"))
-    found = (
-        sets.withColumn("estimated_1rm", e1rm("weight_kg", "reps", exact_single=True))
-        .join(owner, "workout_id", "left")
-        .join(known, "exercise_id", "left")
-    )
+    found = sets.join(owner, "workout_id", "left").join(known, "exercise_id", "left")
     error = F.when(F.col("_known").isNull(), "exercise not found").when(
         F.col("athlete_id").isNull() | F.col("workout_date").isNull(), "workout not found"
     )
-    found = found.withColumn("error", error).drop("_known")
+    return found.withColumn("error", error).drop("_known")
+
+
+def told_apart(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sets that can be logged with their estimate, and the others with their ``error``."""
+    found = matched.withColumn("estimated_1rm", e1rm("weight_kg", "reps", exact_single=True))
     return found.filter("error IS NULL").drop("error"), found.filter("error IS NOT NULL")
 
 
+def logged_sets(sets: DataFrame, workouts: DataFrame, exercises: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sets to log with their estimate, and those that cannot be logged with an ``error``.
+
+    Every type of set is logged; one repetition counts with its own weight. The sets are joined for each reader: store
+    what ``matched_sets`` gives and tell it apart where they are read several times.
+    """
+    return told_apart(matched_sets(sets, workouts, exercises))
+
+
 def flag_sets(candidates: DataFrame, order: list[str], stored: DataFrame | None = None) -> DataFrame:
     """Every new set with its estimate, the record it met and whether it beat it."""
     floor = stored.withColumnRenamed("value", "estimated_1rm") if stored is not None else None
-    timed = with_range_bucket(candidates, KEYS, order)
+    timed, floor = with_shared_buckets(candidates, floor, KEYS, order)
     ranked = with_best_before(timed, KEYS, "_bucket", order, "estimated_1rm", "previous_pr", floor)
     beats = F.col("previous_pr").isNull() | (F.col("estimated_1rm") > F.col("previous_pr"))
     return ranked.withColumn("is_pr", F.coalesce(beats, F.lit(False))).drop("_bucket")
