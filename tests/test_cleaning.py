@@ -75,3 +75,23 @@ def test_clean_twice_is_clean_once(spark):
     once = cleaning.clean(df, {"some_value": "integer"})
     assert once.columns == ["user_name", "some_value"]
     assert rows(once) == rows(cleaning.clean(once, {"some_value": "integer"})) == [("a", 1), ("b", None)]
+
+
+@pytest.mark.parametrize("few", [cleaning.FEW_REPEATS, 0])
+def test_only_rows_that_may_repeat_are_shuffled_whole(spark, monkeypatch, few):
+    monkeypatch.setattr(cleaning, "FEW_REPEATS", few)
+    schema = "k string, v double, m string, _src string"
+    unique = spark.createDataFrame([("a", 0.0, None, "f"), ("b", -0.0, None, "f"), (None, None, None, "f"), (None, None, "x", "f")], schema)
+    same = cleaning.deduplicate_stored(unique)
+    assert rows(same) == rows(cleaning.deduplicate(unique))
+    assert "Exchange" not in same._jdf.queryExecution().executedPlan().toString()
+    mixed = unique.unionByName(spark.createDataFrame([("a", -0.0, None, "g"), (None, None, None, "e"), ("c", float("nan"), "", "g"), ("c", float("nan"), "", "h")], schema))
+    for keep, order in (("last", None), ("first", None), ("last", ["v", "_src"]), (False, None)):
+        assert rows(cleaning.deduplicate_stored(mixed, None, keep, order)) == rows(cleaning.deduplicate(mixed, None, keep, order)), keep
+    assert rows(cleaning.deduplicate_stored(mixed, ["k"], "last", ["_src"])) == rows(cleaning.deduplicate(mixed, ["k"], "last", ["_src"]))
+
+
+def test_a_row_is_in_its_own_order_once(spark):
+    df = spark.createDataFrame([(1, "b1", "x")], "v int, _batch string, _file string")
+    plan = cleaning.deduplicate(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan and "max(" in plan
