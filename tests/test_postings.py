@@ -96,3 +96,30 @@ def test_a_task_holds_a_bounded_number_of_postings(spark, monkeypatch):
     most, files = largest(f"{root}/base/v=1")
     assert most < 300 and files >= 5
     assert index.search(spark, "common").count() == 400
+
+
+def test_texts_of_a_batch_are_cut_into_words_once(spark, monkeypatch):
+    index = SearchIndex(scratch_dir(spark, "index"), "k", {"body": 1}, parts=4)
+    texts = spark.range(400).selectExpr("cast(id as int) k", "concat('w', id % 9, ' common') body")
+    with monkeypatch.context() as patched:
+        # To find ranges, all that is below them is worked out a second time.
+        patched.setattr(type(texts), "repartitionByRange", lambda *a: 1 / 0)
+        index.apply(None, texts, 0)
+    stored = spark.read.parquet(f"{index.root}/postings/log/batch=0")
+    assert dict(stored.dtypes)["_sum_words"] == "bigint" and stored.count() == 800
+    assert index.search(spark, "common w8").count() == 44
+    for tasks in (1, 3, 4, 9):
+        most, place = index._place(tasks)
+        places = stored.select(place.alias("p"), PART, "term", "k")
+        assert places.filter((F.col("p") < 0) | (F.col("p") >= most)).isEmpty() and most >= tasks
+        assert places.groupBy("p").agg(F.count_distinct(PART).alias("n")).agg(F.max("n")).first()[0] <= -(-4 // tasks)
+
+
+def test_changes_of_a_batch_are_worked_out_once(spark, monkeypatch):
+    index, log = SearchIndex(scratch_dir(spark, "index"), "k", WEIGHTS, parts=4), scratch_dir(spark, "log")
+    aggregates.take(spark.createDataFrame(BATCHES[0], CHANGE), 0, [index], log, ["k"], ["seq"], "op")
+    seen = []
+    monkeypatch.setattr(SearchIndex, "apply", lambda self, before, after, number: seen.extend([before, after]))
+    aggregates.take(spark.createDataFrame(BATCHES[1], CHANGE), 1, [index], log, ["k"], ["seq"], "op")
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in seen]
+    assert len(plans) == 2 and not any("Join" in p or "Aggregate" in p for p in plans)

@@ -22,20 +22,22 @@ from tiersmith.operators.cleaning import deduplicate
 from tiersmith.sources import paths, store
 
 DELETE = "DELETE"
+PLACE = "_place"
 NUMBER = "decimal(38,6)"
 # Rows whose sums one task holds while a fold writes the folders of an aggregate.
 RANGE_ROWS = 500_000
 
 
 def before_and_after(
-    known: DataFrame | None, batch: DataFrame, keys: list[str], order: list[str], op: str
+    known: DataFrame | None, batch: DataFrame, keys: list[str], order: list[str], op: str, path: str | None = None
 ) -> tuple[DataFrame | None, DataFrame]:
     """The rows a batch of changes takes away and those it brings.
 
     ``known`` has the last change of each key, deletes included. Of a key's changes in the batch the last by ``order``
-    counts, and only if it is later than the known one.
+    counts, and only if it is later than the known one. With a ``path`` both sides are stored there, so that several readers do not
+    work them out again; the batch must have one change of each key then.
     """
-    latest = deduplicate(batch, keys, "last", order)
+    latest = batch if path else deduplicate(batch, keys, "last", order)
     if known is None:
         return None, latest.filter(F.col(op) != DELETE)
     new = latest.select(*keys, F.struct(*latest.columns).alias("_new"))
@@ -43,6 +45,9 @@ def before_and_after(
     both = new.join(old, keys, "left")
     at = lambda side: F.struct(*(F.col(f"{side}.{c}") for c in order))
     takes = both.filter(F.col("_old").isNull() | (at("_new") > at("_old")))
+    if path:
+        takes.write.parquet(path)
+        takes = batch.sparkSession.read.schema(takes.schema).parquet(path)
     before = takes.filter(F.col("_old").isNotNull()).select("_old.*")
     return before.filter(F.col(op) != DELETE), takes.select("_new.*").filter(F.col(op) != DELETE)
 
@@ -51,7 +56,8 @@ def before_and_after(
 class Kept:
     """An aggregate below ``root``: expressions over a row for its groups, sums and distinct values.
 
-    ``folders`` names a group with few values that becomes a folder level, so that a filter on it rules out files.
+    ``folders`` names a group with few values that becomes a folder level, so that a filter on it rules out files. ``number`` is the type of
+    the sums: whole numbers that stay below 2^63 need no decimals.
     """
 
     root: str
@@ -59,17 +65,20 @@ class Kept:
     sums: dict[str, Column] = field(default_factory=dict)
     distinct: tuple[str, Column] | None = None
     folders: str | None = None
+    number: str = NUMBER
 
     def _by(self) -> list[str]:
         return [*self.groups, *(["_value"] if self.distinct else [])]
 
     def _added(self, rows: DataFrame) -> DataFrame:
         numbers = [c for c in rows.columns if c == "_rows" or c.startswith(("_sum_", "_have_"))]
-        return rows.groupBy(*self._by()).agg(*(F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in numbers))
+        # Where rows are dealt by a number made of their group, it says that a group is in one task.
+        place = [c for c in rows.columns if c == PLACE]
+        return rows.groupBy(*place, *self._by()).agg(*(F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in numbers)).drop(PLACE)
 
     def _signed(self, before: DataFrame | None, after: DataFrame) -> DataFrame:
         """The rows a batch takes away and those it brings, each with its sign."""
-        values = {f"_sum_{n}": c.cast(NUMBER) for n, c in self.sums.items()}
+        values = {f"_sum_{n}": c.cast(self.number) for n, c in self.sums.items()}
 
         def signed(rows: DataFrame, sign: int) -> DataFrame:
             cells = [c.alias(n) for n, c in self.groups.items()]
@@ -77,7 +86,7 @@ class Kept:
             own = rows.select(*cells, F.lit(sign).cast("bigint").alias("_rows"), *(v.alias(n) for n, v in values.items()))
             have = {n.replace("_sum_", "_have_", 1): F.when(F.col(n).isNotNull(), F.lit(sign)).otherwise(0).cast("bigint") for n in values}
             own = own.withColumns(have) if have else own
-            return own.withColumns({n: (F.coalesce(F.col(n), F.lit(0)) * sign).cast(NUMBER) for n in values}) if values else own
+            return own.withColumns({n: (F.coalesce(F.col(n), F.lit(0)) * sign).cast(self.number) for n in values}) if values else own
 
         rows = signed(after, 1)
         return rows if before is None else signed(before, -1).unionByName(rows)
@@ -94,14 +103,18 @@ class Kept:
         """Signed sums per group (and distinct value); groups where nothing changes have none."""
         return self._moved(self._signed(before, after))
 
-    def apply(self, before: DataFrame | None, after: DataFrame, batch: str | int, ranges: int | None = None) -> None:
+    def apply(
+        self, before: DataFrame | None, after: DataFrame, batch: str | int, place: tuple[int, Column] | None = None
+    ) -> None:
         """Take a batch in; the same batch again replaces itself.
 
-        ``ranges`` says into how many tasks the rows of an aggregate in folders are cut, for a caller that knows how
-        many rows a batch has.
+        ``place`` deals the rows of an aggregate in folders to so many tasks by a number made of their group, for a caller that knows
+        how many rows a batch has: to find ranges, the rows would be worked out twice.
         """
         if self.folders:
-            self._write(self._moved(self._placed(self._signed(before, after), ranges)), f"{self.root}/log/batch={batch}")
+            rows = self._signed(before, after)
+            rows = rows.withColumn(PLACE, place[1]).repartitionById(place[0], PLACE) if place else self._placed(rows, None)
+            self._write(self._moved(rows), f"{self.root}/log/batch={batch}")
         else:
             store.appended(self.deltas(before, after), f"{self.root}/log", str(batch))
 
@@ -113,7 +126,7 @@ class Kept:
         return rows.repartitionByRange(*([ranges] if ranges else []), *self._order())
 
     def _write(self, rows: DataFrame, path: str) -> None:
-        """Store sums; those of an aggregate in folders are in ranges already."""
+        """Store sums; those of an aggregate in folders are dealt to tasks already."""
         if not self.folders:
             rows.write.mode("overwrite").parquet(path)
             return

@@ -2,8 +2,8 @@
 
 A text gives one posting per term: how often the term stands in it and how many words the text has, each word
 counted with the weight of its column. Postings are a kept aggregate, so a batch of new, changed and deleted
-texts writes only what it changes. They lie in folders by hash of the term, ranges of term and key inside, so a
-question reads the folders of its terms and a frequent term covers several files.
+texts writes only what it changes. They lie in folders by hash of the term, so a question reads the folders of its
+terms and a frequent term covers several files; a fold puts them in ranges of term and key inside.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ class SearchIndex:
     def _postings(self) -> Kept:
         groups = {PART: self._part(F.col("term")), "term": F.col("term"), self.key: F.col(self.key)}
         sums = {"frequency": F.col("frequency"), "words": F.col("words")}
-        return Kept(f"{self.root}/postings", groups, sums, folders=PART)
+        return Kept(f"{self.root}/postings", groups, sums, folders=PART, number="bigint")
 
     def _rows(self) -> Kept:
         return Kept(f"{self.root}/rows", {"all": F.lit(0)})
@@ -95,7 +95,14 @@ class SearchIndex:
         known = lambda df: df.filter(F.col(self.key).isNotNull())
         self._rows().apply(before and known(before), known(after), batch)
         tasks = self._tasks(before, after)
-        self._postings().apply(before and self.postings_of(before, tasks), self.postings_of(after, tasks), batch, tasks)
+        self._postings().apply(before and self.postings_of(before, tasks), self.postings_of(after, tasks), batch, self._place(tasks))
+
+    def _place(self, tasks: int) -> tuple[int, Column]:
+        """Which task gets a posting: one has some folders, or a share of the postings of one folder."""
+        if tasks < self.parts:
+            return tasks, F.floor(F.col(PART) * tasks / self.parts).cast("int")
+        share = -(-tasks // self.parts)
+        return self.parts * share, F.col(PART) * share + F.pmod(F.xxhash64("term", self.key), F.lit(share)).cast("int")
 
     def fold(self, spark: SparkSession) -> None:
         """Merge all batches so far, so that a question reads one set of files again."""

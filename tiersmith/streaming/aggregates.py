@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tiersmith.operators.cleaning import deduplicate
 from tiersmith.operators.incremental import Kept, before_and_after
+from tiersmith.session import temporary
 from tiersmith.sources import paths
 
 
@@ -20,10 +21,15 @@ def take(batch: DataFrame, number: int | str, kept: list[Kept], log: str, keys:
     """A batch of changes into the aggregates and the log; one that is repeated replaces itself in both."""
     spark = batch.sparkSession
     known = last_changes(spark, log, keys, order, f"batch={number}")
-    before, after = before_and_after(known, batch, keys, order, op)
-    for aggregate in kept:
-        aggregate.apply(before, after, number)
-    deduplicate(batch, keys, "last", order).write.mode("overwrite").parquet(f"{log}/batch={number}")
+    with temporary(spark, "taken") as path:
+        # Each aggregate, and the log, read them: what they are is worked out once.
+        last = deduplicate(batch, keys, "last", order)
+        last.write.parquet(f"{path}/last")
+        last = spark.read.schema(last.schema).parquet(f"{path}/last")
+        before, after = before_and_after(known, last, keys, order, op, f"{path}/both")
+        for aggregate in kept:
+            aggregate.apply(before, after, number)
+        last.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
 
 def maintain(
